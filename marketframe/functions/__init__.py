@@ -10,7 +10,7 @@ from marketframe.functions.text import (
     lead_sentences,
     strip,
 )
-from marketframe.functions.variants import first_truthy, is_object, to_number, to_text, truthy
+from marketframe.functions.variants import first_truthy, is_object, kind_of, to_number, to_text, truthy
 
 __all__ = [
     "capitalized",
@@ -22,6 +22,7 @@ __all__ = [
     "is_blank",
     "is_object",
     "join_in_order",
+    "kind_of",
     "lead_sentences",
     "percent_change",
     "rupiah",

@@ -6,17 +6,22 @@ from pyspark.sql import functions as F
 from marketframe.functions.numbers import safe_double
 
 
-def _kind(value: Column) -> Column:
+def kind_of(value: Column) -> Column:
+    """Type of a JSON value as text: ``VOID`` for null, ``STRING``, ``BIGINT``, ``OBJECT<...>`` and so on."""
     return F.schema_of_variant(value)
 
 
 def is_object(value: Column) -> Column:
-    return F.coalesce(_kind(value).startswith("OBJECT"), F.lit(False))
+    return F.coalesce(kind_of(value).startswith("OBJECT"), F.lit(False))
 
 
-def truthy(value: Column) -> Column:
+# The functions below take the kind of the value too, so that a caller who needs it several times can
+# compute it once, in a projection of its own.
+
+
+def truthy(value: Column, kind: Column | None = None) -> Column:
     """Whether a JSON value counts as present: not absent, null, false, zero, "" or an empty container."""
-    kind = _kind(value)
+    kind = kind_of(value) if kind is None else kind
     present = (
         F.when(kind == "VOID", False)
         .when(kind == "STRING", F.try_variant_get(value, "$", "string") != "")
@@ -27,28 +32,26 @@ def truthy(value: Column) -> Column:
     return F.coalesce(present, F.lit(False))
 
 
-def first_truthy(value: Column, fallback: Column) -> Column:
+def first_truthy(value: Column, fallback: Column, kind: Column | None = None) -> Column:
     """``value`` if it is truthy, else ``fallback`` as it is.
 
     Not ``coalesce``: a zero or an empty string gives way to the fallback too.
     """
-    return F.when(truthy(value), value).otherwise(fallback)
+    return F.when(truthy(value, kind), value).otherwise(fallback)
 
 
-def to_number(value: Column) -> Column:
+def to_number(value: Column, kind: Column | None = None) -> Column:
     """JSON numbers as they are, strings by :func:`safe_double`, everything else null."""
-    kind = _kind(value)
-    return (
-        F.when(kind == "STRING", safe_double(F.try_variant_get(value, "$", "string")))
-        .when(
-            kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL"),
-            F.try_variant_get(value, "$", "double"),
-        )
+    kind = kind_of(value) if kind is None else kind
+    is_number = kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
+    return F.when(is_number, F.try_variant_get(value, "$", "double")).when(
+        kind == "STRING", safe_double(F.try_variant_get(value, "$", "string"))
     )
 
 
-def to_text(value: Column) -> Column:
+def to_text(value: Column, kind: Column | None = None) -> Column:
     """Strings as they are, JSON null as null, other values in their JSON form."""
-    return F.when(_kind(value) == "STRING", F.try_variant_get(value, "$", "string")).when(
-        _kind(value) != "VOID", F.to_json(value)
+    kind = kind_of(value) if kind is None else kind
+    return F.when(kind == "STRING", F.try_variant_get(value, "$", "string")).when(
+        kind != "VOID", F.to_json(value)
     )

@@ -32,14 +32,15 @@ def is_short(cleaned: Column) -> Column:
     return F.length(cleaned) < SHORT_TEXT_CHARS
 
 
+def _cleaned_content() -> Column:
+    return F.when(~is_blank(F.col("content")), clean_text(F.col("content")))
+
+
 def explode_chunks(articles: DataFrame, max_chars: int = CHUNK_CHARS) -> DataFrame:
     """``article_id, pos, chunk`` of the cleaned content, for articles that are not blank or short."""
-    return (
-        articles.filter(~is_blank(F.col("content")))
-        .select("article_id", clean_text(F.col("content")).alias("cleaned"))
-        .filter(~is_short(F.col("cleaned")))
-        .select("article_id", F.posexplode(chunk_text(F.col("cleaned"), max_chars)).alias("pos", "chunk"))
-    )
+    cleaned = articles.select("article_id", _cleaned_content().alias("cleaned"))
+    chunks = F.when(~is_short(F.col("cleaned")), chunk_text(F.col("cleaned"), max_chars))
+    return cleaned.select("article_id", F.posexplode(chunks).alias("pos", "chunk"))
 
 
 def summarize_chunks(chunks: DataFrame, load: Callable[[], Summarizer]) -> DataFrame:
@@ -99,29 +100,37 @@ def merge_summaries(articles: DataFrame, summaries: DataFrame) -> DataFrame:
     )
 
 
-def summarize_text(content: Column, max_chars: int = CHUNK_CHARS, sentences: int = 2) -> Column:
-    """Native summary of one text: lead sentences of each chunk; blank gives null, short text stands."""
-    cleaned = clean_text(content)
+def summarize_text(cleaned: Column, max_chars: int = CHUNK_CHARS, sentences: int = 2) -> Column:
+    """Native summary of a cleaned text: lead sentences of each chunk; short text stands as it is."""
     leads = F.transform(
         F.filter(chunk_text(cleaned, max_chars), lambda chunk: chunk != ""),
         lambda chunk: lead_sentences(chunk, sentences),
     )
-    return F.when(~is_blank(content), F.when(is_short(cleaned), cleaned).otherwise(F.array_join(leads, " ")))
+    return F.when(is_short(cleaned), cleaned).otherwise(F.array_join(leads, " "))
 
 
 def summarize_pending(articles: DataFrame, load: Callable[[], Summarizer] | None = None) -> DataFrame:
     """The whole article table with every pending article summarised; finished ones stay as they are.
 
-    Without a model this is a projection: no shuffle, no Python.  With one, only pending articles go
-    through chunking, the model and the keyed update; finished articles pass by unshuffled.
+    Without a model these are projections: no shuffle, no Python.  Cleaning is a projection of its own,
+    whose result Spark computes once per article although it is used several times.  With a model, only
+    pending articles go through chunking, the model and the keyed update; finished articles pass by
+    unshuffled.
     """
     if load is None:
-        summary = F.when(is_blank(F.col("summary")), summarize_text(F.col("content")))
-        return articles.withColumn("summary", summary.otherwise(F.col("summary")))
+        is_pending = is_blank(F.col("summary"))
+        return (
+            articles.withColumn("_cleaned", F.when(is_pending, _cleaned_content()))
+            .withColumn(
+                "summary", F.when(is_pending, summarize_text(F.col("_cleaned"))).otherwise(F.col("summary"))
+            )
+            .drop("_cleaned")
+        )
     backlog = pending(articles)
     modelled = assemble_summaries(summarize_chunks(explode_chunks(backlog), load))
-    cleaned = clean_text(F.col("content"))
-    untouched = F.when(~is_blank(F.col("content")) & is_short(cleaned), cleaned)
-    return finished(articles).unionByName(
-        merge_summaries(backlog.withColumn("summary", untouched), modelled)
+    short = (
+        backlog.withColumn("_cleaned", _cleaned_content())
+        .withColumn("summary", F.when(is_short(F.col("_cleaned")), F.col("_cleaned")))
+        .drop("_cleaned")
     )
+    return finished(articles).unionByName(merge_summaries(short, modelled))

@@ -1,10 +1,13 @@
 """Chart series and the figures printed on a chart."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketframe.functions import capitalized, change_text, day_text, percent_change, rupiah
-from marketframe.schemas import CHART_DAYS
+from marketframe.operators.resample import resample_all
+from marketframe.schemas import CHART_DAYS, TIMEFRAMES
 
 SERIES_COLUMNS = ("date", "open", "high", "low", "close", "volume")
 
@@ -34,15 +37,32 @@ def valid_close(bars: DataFrame) -> DataFrame:
     return bars.dropna(subset=["close"])
 
 
-def chart_series(bars: DataFrame, n: int = CHART_DAYS) -> DataFrame:
-    """Price line, candles and volume of each ticker and timeframe: daily bars limited to the newest ``n``.
+def chart_parts(bars: DataFrame, n: int = CHART_DAYS) -> tuple[DataFrame, DataFrame]:
+    """``(daily, coarser)`` series of stored bars: price line, candles and volume per ticker and timeframe.
 
-    The limit comes before the check of the close, so a daily series may hold fewer than ``n`` points.
+    Daily bars are limited to the newest ``n``.  The limit comes before the check of the close, so a daily
+    series may hold fewer than ``n`` points.
     """
+    bars = bars.select("ticker", "timeframe", *SERIES_COLUMNS)
+    return (
+        _chart_days(bars.filter(F.col("timeframe") == "daily"), n),
+        valid_close(bars.filter(F.col("timeframe") != "daily")),
+    )
+
+
+def chart_parts_of_prices(bars: DataFrame, n: int = CHART_DAYS) -> tuple[DataFrame, DataFrame]:
+    """The same straight from daily bars, without a store in between."""
     columns = ("ticker", "timeframe", *SERIES_COLUMNS)
-    daily = last_n(bars.filter(F.col("timeframe") == "daily").select(*columns), n, keys=("ticker", "timeframe"))
-    coarser = bars.filter(F.col("timeframe") != "daily").select(*columns)
-    return valid_close(daily.unionByName(coarser))
+    daily, coarser = resample_all(bars, TIMEFRAMES[:1]), resample_all(bars, TIMEFRAMES[1:])
+    return _chart_days(daily.select(*columns), n), valid_close(coarser.select(*columns))
+
+
+def _chart_days(daily: DataFrame, n: int) -> DataFrame:
+    return valid_close(last_n(daily, n, keys=("ticker", "timeframe")))
+
+
+def chart_series(daily: DataFrame, coarser: DataFrame) -> DataFrame:
+    return daily.unionByName(coarser)
 
 
 def _keys(series: DataFrame) -> list[str]:
@@ -105,26 +125,33 @@ def price_change(series: DataFrame) -> DataFrame:
     return _with_change(ends.filter(_more_than_one())).drop("n_points")
 
 
+def _any_volume():
+    return F.coalesce(F.sum("volume") > 0, F.lit(False)).alias("has_volume")
+
+
 def has_volume(series: DataFrame) -> DataFrame:
     """Whether a series has any volume to draw."""
-    return series.groupBy(*_keys(series)).agg(
-        F.coalesce(F.sum("volume") > 0, F.lit(False)).alias("has_volume")
-    )
+    return series.groupBy(*_keys(series)).agg(_any_volume())
 
 
-def chart_report(series: DataFrame) -> DataFrame:
-    """All chart figures of each series in one aggregation; single-point series keep only their counts."""
-    figures = series.groupBy(*_keys(series)).agg(
-        F.count("*").alias("n_points"),
-        F.coalesce(F.sum("volume") > 0, F.lit(False)).alias("has_volume"),
-        *_low_high(),
-        *_first_last(),
-    )
+def chart_report(*parts: DataFrame) -> DataFrame:
+    """All chart figures of each series in one aggregation; single-point series keep only their counts.
+
+    Each part is aggregated by itself: the daily part comes out of its window, the coarser part out of
+    the roll-up, already partitioned by ticker, and neither is shuffled again.
+    """
+    figures = reduce(DataFrame.unionByName, [_figures(part) for part in parts])
     labelled = _with_change(_with_extreme_labels(figures))
-    keep = [*_keys(series), "n_points", "has_volume"]
+    keep = [*_keys(figures), "n_points", "has_volume"]
     gated = [F.when(_more_than_one(), F.col(c)).alias(c) for c in labelled.columns if c not in keep]
     report = labelled.select(*keep, *gated)
-    if "timeframe" in series.columns:
+    if "timeframe" in keep:
         title = F.concat_ws(" - ", "ticker", F.concat(capitalized(F.col("timeframe")), F.lit(" Price")))
         report = report.withColumn("title", title)
     return report
+
+
+def _figures(series: DataFrame) -> DataFrame:
+    return series.groupBy(*_keys(series)).agg(
+        F.count("*").alias("n_points"), _any_volume(), *_low_high(), *_first_last()
+    )

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketframe.functions import first_truthy, is_object, safe_ratio, to_number, to_text
+from marketframe.functions import first_truthy, is_object, kind_of, safe_ratio, to_number, to_text
 from marketframe.schemas import ISSUER_KEY, MEASURE_TAGS, MEASURES, STATEMENT_KEY, UNKNOWN_ISSUER
 
 
@@ -13,8 +13,12 @@ def parse_documents(documents: DataFrame) -> DataFrame:
 
 
 def split_corrupt(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(good, bad)``: documents that parsed, and those to report."""
-    return parsed.filter(F.col("v").isNotNull()), parsed.filter(F.col("v").isNull())
+    """``(good, bad)``: documents that parsed, and those to report.
+
+    Documents from the bronze table are told apart by its ``corrupt`` partitions.
+    """
+    corrupt = F.col("corrupt") if "corrupt" in parsed.columns else F.col("v").isNull()
+    return parsed.filter(~corrupt), parsed.filter(corrupt)
 
 
 def has_statement(parsed: DataFrame) -> DataFrame:
@@ -22,27 +26,33 @@ def has_statement(parsed: DataFrame) -> DataFrame:
     return parsed.filter(is_object(F.try_variant_get("v", f"$.{STATEMENT_KEY}", "variant")))
 
 
-def _tag(name: str) -> Column:
-    return F.try_variant_get("v", f"$.{STATEMENT_KEY}.{name}", "variant")
-
-
-def _measure(tags: tuple[str, ...]) -> Column:
-    return to_number(first_truthy(*map(_tag, tags)) if len(tags) == 2 else _tag(tags[0]))
-
-
-def _issuer() -> Column:
-    issuer = F.try_variant_get("v", f"$.{ISSUER_KEY}", "variant")
-    return F.when(issuer.isNull(), UNKNOWN_ISSUER).otherwise(to_text(issuer))
+def _get(path: str) -> Column:
+    return F.try_variant_get("v", f"$.{path}", "variant")
 
 
 def map_statement(parsed: DataFrame, dtype: str = "double") -> DataFrame:
     """One row per statement: issuer name, the twelve measures and the source file.
 
     Values that are no plain number become null.  ``dtype="float"`` gives single precision.
+
+    Values, the choice between two tags, and the kinds of the chosen values are projections of their own:
+    Spark keeps them apart and so looks up and classifies each value once.
     """
-    return has_statement(parsed).select(
-        _issuer().alias("nama"),
-        *[_measure(tags).cast(dtype).alias(name) for name, tags in MEASURE_TAGS.items()],
+    with_fallback = {m: tags for m, tags in MEASURE_TAGS.items() if len(tags) == 2}
+    values = has_statement(parsed).select(
+        "source_file",
+        _get(ISSUER_KEY).alias("issuer"),
+        *[_get(f"{STATEMENT_KEY}.{tags[0]}").alias(m) for m, tags in MEASURE_TAGS.items()],
+        *[_get(f"{STATEMENT_KEY}.{tags[1]}").alias(f"{m}_or") for m, tags in with_fallback.items()],
+    )
+    chosen = values.withColumns({f"{m}_kind": kind_of(F.col(m)) for m in with_fallback}).withColumns(
+        {m: first_truthy(F.col(m), F.col(f"{m}_or"), F.col(f"{m}_kind")) for m in with_fallback}
+    )
+    kinds = {f"{m}_kind": kind_of(F.col(m)) for m in (*MEASURES, "issuer")}
+    issuer = to_text(F.col("issuer"), F.col("issuer_kind"))
+    return chosen.withColumns(kinds).select(
+        F.when(F.col("issuer").isNull(), UNKNOWN_ISSUER).otherwise(issuer).alias("nama"),
+        *[to_number(F.col(m), F.col(f"{m}_kind")).cast(dtype).alias(m) for m in MEASURES],
         "source_file",
     )
 

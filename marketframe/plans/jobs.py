@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from marketframe.operators.news import Summarizer, summarize_pending
 from marketframe.operators.resample import resample_all
-from marketframe.operators.series import chart_report, chart_series
+from marketframe.operators.series import chart_parts, chart_report
 from marketframe.operators.statements import split_corrupt, transform_statements
 from marketframe.sinks import (
     write_article_version,
@@ -33,13 +33,13 @@ def load_statements(
 ) -> tuple[int, DataFrame]:
     """Statement files to bronze and structured tables.
 
-    Returns the number of statements loaded and the unreadable files.  The JSON files are read for the
-    bronze load only; the structured table is built from the bronze table, which is compact and splittable.
-    Both tables are replaced, so a repeated run changes nothing.
+    Returns the number of statements loaded and the unreadable files.  The JSON files are read and parsed
+    once, for the bronze table, which is compact and splittable; the rest is built from there.  Both
+    tables are replaced, so a repeated run changes nothing.
     """
-    good, bad = split_corrupt(read_statements(spark, json_path))
-    write_raw_statements(good, bronze_path, mode="overwrite")
-    statements = transform_statements(read_raw_statements(spark, bronze_path))
+    write_raw_statements(read_statements(spark, json_path), bronze_path, mode="overwrite")
+    good, bad = split_corrupt(read_raw_statements(spark, bronze_path))
+    statements = transform_statements(good)
     loaded = write_statements(statements, table_path, mode="overwrite")
     if export_path:
         write_records_json(spark.read.parquet(table_path), export_path)
@@ -55,4 +55,4 @@ def summarize_collection(
 
 def chart_figures(spark: SparkSession, store_path: str) -> DataFrame:
     """Chart figures of every ticker and timeframe in a bar store."""
-    return chart_report(chart_series(spark.read.parquet(store_path)))
+    return chart_report(*chart_parts(spark.read.parquet(store_path)))

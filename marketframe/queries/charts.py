@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from marketframe.operators.resample import resample_all
 from marketframe.operators.series import (
+    chart_parts_of_prices,
     chart_report,
     chart_series,
     extremes,
@@ -13,8 +14,11 @@ from marketframe.operators.series import (
     price_change,
     valid_close,
 )
+from marketframe.plans import chart_figures
 from marketframe.queries import tables as t
 from marketframe.queries.prices import all_timeframes_sql
+from marketframe.session import scratch_path
+from marketframe.sinks import write_bars
 
 # --- queries ----------------------------------------------------------------------------------
 
@@ -36,12 +40,9 @@ def events_last_365(spark: SparkSession, sf_dir: str) -> DataFrame:
     return valid_close(last_n(_event_series(spark, sf_dir)))
 
 
-def _series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chart_series(resample_all(t.priority_bars(spark, sf_dir)))
-
-
 def series_all_timeframes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _series(spark, sf_dir).withColumn("volume", F.round("volume", 2))
+    series = chart_series(*chart_parts_of_prices(t.priority_bars(spark, sf_dir)))
+    return series.withColumn("volume", F.round("volume", 2))
 
 
 def _customer_series(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,9 +54,7 @@ def chart_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def chart_price_change(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return price_change(_customer_series(spark, sf_dir)).withColumns(
-        {"change": F.round("change", 2), "pct_change": F.round("pct_change", 4)}
-    )
+    return _rounded(price_change(_customer_series(spark, sf_dir)))
 
 
 def volume_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,10 +66,19 @@ def volume_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return has_volume(orders)
 
 
-def report_all_timeframes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chart_report(_series(spark, sf_dir)).withColumns(
-        {"change": F.round("change", 2), "pct_change": F.round("pct_change", 4)}
-    )
+def _rounded(report: DataFrame) -> DataFrame:
+    return report.withColumns({"change": F.round("change", 2), "pct_change": F.round("pct_change", 4)})
+
+
+def report_of_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(chart_report(*chart_parts_of_prices(t.priority_bars(spark, sf_dir))))
+
+
+def report_of_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same figures from a bar store on disk."""
+    store = scratch_path(spark, "bars")
+    write_bars(resample_all(t.priority_bars(spark, sf_dir)), store)
+    return _rounded(chart_figures(spark, store))
 
 
 QUERIES = {
@@ -80,7 +88,8 @@ QUERIES = {
     "extremes": chart_extremes,
     "price_change": chart_price_change,
     "has_volume": volume_flags,
-    "chart_report": report_all_timeframes,
+    "chart_report": report_of_prices,
+    "chart_report_from_store": report_of_store,
 }
 
 # --- expected results -------------------------------------------------------------------------
@@ -116,6 +125,14 @@ PRIORITY_SERIES_SQL = f"""WITH bars AS ({t.PRIORITY_BARS_SQL}), stored AS ({all_
                QUALIFY timeframe <> 'daily'
                     OR row_number() OVER (PARTITION BY ticker, timeframe ORDER BY date DESC) <= 365)"""
 
+REPORT_SQL = f"""{PRIORITY_SERIES_SQL},
+    figures AS (SELECT ticker, timeframe, count(*) AS n_points, sum(volume) > 0 AS has_volume,
+                       {LOW_HIGH_SQL}, {FIRST_LAST_SQL} FROM series GROUP BY 1, 2)
+    SELECT n.ticker, n.timeframe, n.n_points, n.has_volume, l.* EXCLUDE (ticker, timeframe, n_points, has_volume),
+           concat(n.ticker, ' - ', upper(n.timeframe[1]), n.timeframe[2:], ' Price') AS title
+    FROM figures n LEFT JOIN (SELECT *, {EXTREME_LABELS_SQL}, {CHANGE_SQL} FROM figures WHERE n_points > 1) l
+         USING (ticker, timeframe)"""
+
 ORACLES = {
     "last_365": f"""SELECT * FROM ({t.PRIORITY_BARS_SQL})
         QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY date DESC) <= 365""",
@@ -135,11 +152,6 @@ ORACLES = {
         SELECT CAST(o_custkey AS VARCHAR) AS ticker,
                sum(CASE WHEN o_orderstatus = 'F' THEN o_totalprice ELSE 0 END) > 0 AS has_volume
         FROM orders GROUP BY 1""",
-    "chart_report": f"""{PRIORITY_SERIES_SQL},
-        figures AS (SELECT ticker, timeframe, count(*) AS n_points, sum(volume) > 0 AS has_volume,
-                           {LOW_HIGH_SQL}, {FIRST_LAST_SQL} FROM series GROUP BY 1, 2)
-        SELECT n.ticker, n.timeframe, n.n_points, n.has_volume, l.* EXCLUDE (ticker, timeframe, n_points, has_volume),
-               concat(n.ticker, ' - ', upper(n.timeframe[1]), n.timeframe[2:], ' Price') AS title
-        FROM figures n LEFT JOIN (SELECT *, {EXTREME_LABELS_SQL}, {CHANGE_SQL} FROM figures WHERE n_points > 1) l
-             USING (ticker, timeframe)""",
+    "chart_report": REPORT_SQL,
+    "chart_report_from_store": REPORT_SQL,
 }

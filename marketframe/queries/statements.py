@@ -57,10 +57,11 @@ def statements_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw documents stored unchanged; every stored document is counted, statement or not."""
     bronze = scratch_path(spark, "bronze")
     loaded = write_raw_statements(_parsed(spark, sf_dir), bronze)
-    stored = read_raw_statements(spark, bronze)
+    stored, unreadable = split_corrupt(read_raw_statements(spark, bronze))
     return stored.agg(
         F.count("*").alias("n_documents"),
         F.lit(loaded).cast("bigint").alias("n_loaded"),
+        unreadable.agg(F.count("*")).scalar().alias("n_unreadable"),
         F.count(F.try_variant_get("v", "$.laporan_keuangan.Assets", "double")).alias("n_assets"),
     )
 
@@ -68,7 +69,8 @@ def statements_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 def statements_from_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze = scratch_path(spark, "bronze")
     write_raw_statements(_parsed(spark, sf_dir), bronze)
-    return map_statement(read_raw_statements(spark, bronze))
+    good, _ = split_corrupt(read_raw_statements(spark, bronze))
+    return map_statement(good)
 
 
 def statements_exported(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,6 +136,7 @@ ORACLES = {
     "statements_bronze": """
         SELECT count(*) FILTER (c_nationkey <> 5) AS n_documents,
                count(*) FILTER (c_nationkey <> 5) AS n_loaded,
+               count(*) FILTER (c_nationkey = 5) AS n_unreadable,
                count(*) FILTER (c_nationkey NOT IN (2, 3, 4, 5)) AS n_assets
         FROM customer""",
     "statements_from_bronze": t.CUSTOMER_STATEMENTS_SQL,

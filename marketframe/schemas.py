@@ -59,6 +59,15 @@ STATEMENTS = T.StructType(
     ]
 )
 
+BRONZE = T.StructType(
+    [
+        T.StructField("source_file", T.StringType()),
+        T.StructField("v", T.VariantType()),
+        T.StructField("raw", T.StringType()),
+        T.StructField("corrupt", T.BooleanType()),
+    ]
+)
+
 ARTICLES = T.StructType(
     [
         T.StructField("article_id", T.LongType()),

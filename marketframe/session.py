@@ -4,7 +4,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that hold at any scale.  The shuffle partition count is an upper bound: adaptive
 # execution merges small partitions and splits skewed join partitions at run time.
@@ -27,6 +27,15 @@ def build_session(app_name: str = "marketframe", master: str | None = None, **co
     return builder.getOrCreate()
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal rows out over all cores if the input has fewer splits than that; else leave them alone.
+
+    For CPU-bound work on small inputs.  An input of many files never gets the extra shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder for an intermediate table, below the cluster's shared ``spark.checkpoint.dir``.
 

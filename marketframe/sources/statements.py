@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketframe.operators.statements import parse_documents
-from marketframe.schemas import STATEMENTS
+from marketframe.schemas import BRONZE, STATEMENTS
 
 
 def read_statements(spark: SparkSession, path: str) -> DataFrame:
@@ -20,8 +20,8 @@ def read_statements(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_raw_statements(spark: SparkSession, path: str) -> DataFrame:
-    """The bronze table written by ``write_raw_statements``: ``source_file, v``."""
-    return spark.read.parquet(path)
+    """The bronze table written by ``write_raw_statements``: ``source_file, v, raw, corrupt``."""
+    return spark.read.schema(BRONZE).parquet(path)
 
 
 def read_records(
