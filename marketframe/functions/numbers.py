@@ -3,15 +3,17 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# fixed value: the characters a numeric string may hold
-NUMBER_PATTERN = r"^[0-9.\-]+$"
+# A plain decimal number: digits, at most one dot, at most a minus sign in front.  These are the texts of
+# the characters 0-9 . - that can be cast; sorting out the others (``--``, ``1-2``, ``1.2.3``) by pattern
+# is far cheaper than a failing cast, which raises and catches an exception per row.
+NUMBER_PATTERN = r"^-?([0-9]+\.?[0-9]*|\.[0-9]+)$"
 
 
 def safe_double(text: Column, dtype: str = "double") -> Column:
-    """The number in ``text``, or null when it holds anything but digits, dots and minus signs.
+    """The number in ``text``, or null when it is not a plain decimal number.
 
-    ``try_cast`` covers what passes the pattern and is still no number (``--``, ``1-2``, ``1.2.3``).
-    ``dtype="float"`` gives single precision, which cannot hold amounts above 16,777,216 exactly.
+    Exponents, plus signs, blanks and thousands separators give null.  ``dtype="float"`` gives single
+    precision, which cannot hold amounts above 16,777,216 exactly.
     """
     return F.when(text.rlike(NUMBER_PATTERN), text.try_cast(dtype))
 

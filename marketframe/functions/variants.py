@@ -6,52 +6,55 @@ from pyspark.sql import functions as F
 from marketframe.functions.numbers import safe_double
 
 
+# Asking for the kind of a value costs several times what reading it as text costs.  So each function
+# decides by the text where the text settles it; CASE branches that ask for the kind are then not run.
+
+
 def kind_of(value: Column) -> Column:
     """Type of a JSON value as text: ``VOID`` for null, ``STRING``, ``BIGINT``, ``OBJECT<...>`` and so on."""
     return F.schema_of_variant(value)
 
 
-def is_object(value: Column) -> Column:
-    return F.coalesce(kind_of(value).startswith("OBJECT"), F.lit(False))
+def to_text(value: Column) -> Column:
+    """Strings as they are, JSON null as null, other values in their JSON form."""
+    return F.try_variant_get(value, "$", "string")
+
 
+def is_object(value: Column) -> Column:
+    """Only objects can be read as a struct, whatever their fields."""
+    return F.try_variant_get(value, "$", "struct<_:variant>").isNotNull()
 
-# The functions below take the kind of the value too, so that a caller who needs it several times can
-# compute it once, in a projection of its own.
 
+def truthy(value: Column, text: Column | None = None) -> Column:
+    """Whether a JSON value counts as present: not absent, null, false, zero, "" or an empty container.
 
-def truthy(value: Column, kind: Column | None = None) -> Column:
-    """Whether a JSON value counts as present: not absent, null, false, zero, "" or an empty container."""
-    kind = kind_of(value) if kind is None else kind
+    A digit other than zero settles it for every type.
+    """
+    text = to_text(value) if text is None else text
+    kind = kind_of(value)
     present = (
-        F.when(kind == "VOID", False)
-        .when(kind == "STRING", F.try_variant_get(value, "$", "string") != "")
-        .when(kind == "BOOLEAN", F.try_variant_get(value, "$", "boolean"))
-        .when(kind.startswith("OBJECT") | kind.startswith("ARRAY"), ~F.to_json(value).isin("{}", "[]"))
-        .otherwise(F.try_variant_get(value, "$", "double") != 0)
+        F.when(text.rlike("[1-9]"), True)
+        .when(text.isNull() | text.isin("", "{}", "[]", "false"), (kind == "STRING") & (text != ""))
+        .when(kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL"), False)
+        .otherwise(True)
     )
     return F.coalesce(present, F.lit(False))
 
 
-def first_truthy(value: Column, fallback: Column, kind: Column | None = None) -> Column:
+def first_truthy(value: Column, fallback: Column) -> Column:
     """``value`` if it is truthy, else ``fallback`` as it is.
 
     Not ``coalesce``: a zero or an empty string gives way to the fallback too.
     """
-    return F.when(truthy(value, kind), value).otherwise(fallback)
-
+    return F.when(truthy(value), value).otherwise(fallback)
 
-def to_number(value: Column, kind: Column | None = None) -> Column:
-    """JSON numbers as they are, strings by :func:`safe_double`, everything else null."""
-    kind = kind_of(value) if kind is None else kind
-    is_number = kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
-    return F.when(is_number, F.try_variant_get(value, "$", "double")).when(
-        kind == "STRING", safe_double(F.try_variant_get(value, "$", "string"))
-    )
 
+def to_number(value: Column, text: Column | None = None) -> Column:
+    """JSON numbers as they are, strings by :func:`safe_double`, everything else null.
 
-def to_text(value: Column, kind: Column | None = None) -> Column:
-    """Strings as they are, JSON null as null, other values in their JSON form."""
-    kind = kind_of(value) if kind is None else kind
-    return F.when(kind == "STRING", F.try_variant_get(value, "$", "string")).when(
-        kind != "VOID", F.to_json(value)
-    )
+    A number that Spark prints with an exponent does not pass for a plain number as text, and is read
+    as a double instead.
+    """
+    text = to_text(value) if text is None else text
+    exponent = F.when(text.contains("E"), kind_of(value) == "DOUBLE")
+    return F.coalesce(safe_double(text), F.when(exponent, F.try_variant_get(value, "$", "double")))

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketframe.functions import first_truthy, is_object, kind_of, safe_ratio, to_number, to_text
+from marketframe.functions import is_object, safe_ratio, to_number, to_text, truthy
 from marketframe.schemas import ISSUER_KEY, MEASURE_TAGS, MEASURES, STATEMENT_KEY, UNKNOWN_ISSUER
 
 
@@ -35,24 +35,33 @@ def map_statement(parsed: DataFrame, dtype: str = "double") -> DataFrame:
 
     Values that are no plain number become null.  ``dtype="float"`` gives single precision.
 
-    Values, the choice between two tags, and the kinds of the chosen values are projections of their own:
-    Spark keeps them apart and so looks up and classifies each value once.
+    All tags are read as text in one pass over the statement object, and the typed value is looked up only
+    where the text leaves a doubt.  That lookup goes to the extracted object: lookups in ``v`` itself would
+    be pushed into the Parquet scan and be made for every row.
     """
-    with_fallback = {m: tags for m, tags in MEASURE_TAGS.items() if len(tags) == 2}
-    values = has_statement(parsed).select(
-        "source_file",
-        _get(ISSUER_KEY).alias("issuer"),
-        *[_get(f"{STATEMENT_KEY}.{tags[0]}").alias(m) for m, tags in MEASURE_TAGS.items()],
-        *[_get(f"{STATEMENT_KEY}.{tags[1]}").alias(f"{m}_or") for m, tags in with_fallback.items()],
-    )
-    chosen = values.withColumns({f"{m}_kind": kind_of(F.col(m)) for m in with_fallback}).withColumns(
-        {m: first_truthy(F.col(m), F.col(f"{m}_or"), F.col(f"{m}_kind")) for m in with_fallback}
+    tags = [tag for pair in MEASURE_TAGS.values() for tag in pair]
+    fields = ",".join(f"{tag}:string" for tag in tags)
+    read = (
+        has_statement(parsed)
+        .select("source_file", _get(ISSUER_KEY).alias("issuer"), _get(STATEMENT_KEY).alias("statement"))
+        .withColumn("texts", F.try_variant_get("statement", "$", f"struct<{fields}>"))
     )
-    kinds = {f"{m}_kind": kind_of(F.col(m)) for m in (*MEASURES, "issuer")}
-    issuer = to_text(F.col("issuer"), F.col("issuer_kind"))
-    return chosen.withColumns(kinds).select(
-        F.when(F.col("issuer").isNull(), UNKNOWN_ISSUER).otherwise(issuer).alias("nama"),
-        *[to_number(F.col(m), F.col(f"{m}_kind")).cast(dtype).alias(m) for m in MEASURES],
+
+    def value(tag: str) -> Column:
+        return F.try_variant_get("statement", f"$.{tag}", "variant")
+
+    def number(tag: str) -> Column:
+        return to_number(value(tag), F.col(f"texts.{tag}"))
+
+    def measure(tag: str, fallback: str | None = None) -> Column:
+        if fallback is None:
+            return number(tag)
+        return F.when(truthy(value(tag), F.col(f"texts.{tag}")), number(tag)).otherwise(number(fallback))
+
+    issuer = F.col("issuer")
+    return read.select(
+        F.when(issuer.isNull(), UNKNOWN_ISSUER).otherwise(to_text(issuer)).alias("nama"),
+        *[measure(*pair).cast(dtype).alias(name) for name, pair in MEASURE_TAGS.items()],
         "source_file",
     )
 

@@ -12,7 +12,7 @@ def read_statements(spark: SparkSession, path: str) -> DataFrame:
     """Every ``*.json`` file below ``path``, one document each: ``source_file, raw, v``.
 
     ``v`` is null for files that are not JSON; ``split_corrupt`` separates them.  Small files are packed
-    into splits by Spark, and the text is kept for the report of bad files.
+    into splits by Spark, and the text is kept for the report of bad files.  Spark skips files of zero bytes.
     """
     files = spark.read.text(path, wholetext=True, pathGlobFilter="*.json", recursiveFileLookup=True)
     documents = files.select(F.col("_metadata.file_name").alias("source_file"), F.col("value").alias("raw"))
