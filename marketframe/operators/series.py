@@ -1,5 +1,6 @@
 """Chart series and the figures printed on a chart."""
 
+import math
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -11,16 +12,33 @@ from marketframe.schemas import CHART_DAYS, TIMEFRAMES
 
 SERIES_COLUMNS = ("date", "open", "high", "low", "close", "volume")
 
+# a thousand input splits of Spark's default size, 128 MiB
+BYTES_PER_SALT = 1000 * 128 * 1024**2
 
-def last_n(bars: DataFrame, n: int = CHART_DAYS, keys: tuple[str, ...] = ("ticker",), salts: int = 32) -> DataFrame:
+
+def salts_for(size_in_bytes: int) -> int:
+    """How many parts to split a key into, so that one task gets the survivors of some 1000 input splits."""
+    return max(1, math.ceil(size_in_bytes / BYTES_PER_SALT))
+
+
+def _estimated_bytes(df: DataFrame) -> int:
+    """The size of a frame as the optimizer estimates it, from file sizes; runs no job."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def last_n(
+    bars: DataFrame, n: int = CHART_DAYS, keys: tuple[str, ...] = ("ticker",), salts: int | None = None
+) -> DataFrame:
     """The newest ``n`` rows per key.
 
-    Spark keeps only ``n`` rows per key and task before a shuffle, yet a hot key found in every input
-    split would still send ``n`` rows from each of them to one task.  So the rows are ranked per key and
-    salt first (the salt being the input split), and the at most ``n * salts`` survivors per key again.
-    The newest ``n`` of a whole are among the newest ``n`` of its parts: the result is exact.
+    Before the shuffle Spark keeps only ``n`` rows per key and task.  A hot key found in every input split
+    still sends ``n`` rows from each of them to one task, which is fine for a thousand splits but not for
+    a million.  So beyond that size rows are ranked per key and salt first (the salt being the input
+    split), and the at most ``n * salts`` survivors per key again.  The newest ``n`` of a whole are among
+    the newest ``n`` of its parts: the result is exact.  Below that size the second shuffle is spared.
     """
     newest = F.col("date").desc()
+    salts = salts_for(_estimated_bytes(bars)) if salts is None else salts
     survivors = bars
     if salts > 1:
         salted = bars.withColumn("_salt", F.spark_partition_id() % salts)

@@ -15,6 +15,7 @@ from marketframe.operators.series import (
     has_volume,
     last_n,
     price_change,
+    salts_for,
     valid_close,
 )
 from marketframe.plans import chart_figures
@@ -64,7 +65,7 @@ def test_limit_comes_before_the_check_of_the_close(spark):
     assert sorted(r["close"] for r in valid_close(last_n(bars, 3)).collect()) == [3.0]
 
 
-@pytest.mark.parametrize("salts", [1, 3, 32])
+@pytest.mark.parametrize("salts", [None, 1, 3, 32])
 def test_last_n_is_exact_for_a_hot_ticker(spark, salts):
     hot = spark.range(0, 20_000, numPartitions=16).select(
         F.lit("HOT").alias("ticker"), F.date_add(F.lit(date(1970, 1, 1)), F.col("id").cast("int")).alias("date")
@@ -92,10 +93,16 @@ def test_plans(spark, sf_dir):
     tables.priority_bars(spark, sf_dir).write.parquet(path)
     bars = spark.read.parquet(path)
     text = static_plan(spark, last_n(bars))
+    assert text.count("WindowGroupLimit") == 2 and text.count("Exchange") == 1
+    text = static_plan(spark, last_n(bars, salts=8))
     assert text.count("WindowGroupLimit") == 4 and text.count("Exchange") == 2
-    # two for the newest days, two for the roll-up, none for the figures
+    # one for the newest days, two for the roll-up, none for the figures
     report = static_plan(spark, chart_report(*chart_parts_of_prices(bars)))
-    assert report.count("Exchange hashpartitioning") == 4 and "Python" not in report
+    assert report.count("Exchange hashpartitioning") == 3 and "Python" not in report
+
+
+def test_salts_grow_with_the_input():
+    assert [salts_for(b) for b in (0, 10**9, 10**12, 10**14)] == [1, 1, 8, 746]
 
 
 def test_report_from_prices_equals_report_from_store(spark, sf_dir):
