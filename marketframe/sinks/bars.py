@@ -15,18 +15,20 @@ def write_bars(bars: DataFrame, path: str, mode: str = "replace", cluster: bool
     written for a timeframe without rows.  The counts are observed while writing: no second pass.
 
     Files are sorted by ticker and date, which lets readers skip row groups.  ``cluster=True`` also
-    range-partitions the rows first (one more shuffle), so that a ticker sits in few files; the date in
-    the range key splits a ticker that is too large for one file.
+    range-partitions the rows first (a sampling pass and one more shuffle), so that a ticker sits in few
+    files; the date in the range key splits a ticker that is too large for one file.
     """
     if mode not in ("replace", "append"):
         raise ValueError(f"unknown mode {mode!r}, expected 'replace' or 'append'")
     seen = Observation()
     counts = [F.count_if(F.col("timeframe") == t).alias(t) for t in TIMEFRAMES]
-    rows = to_storage(stamp(bars)).observe(seen, *counts)
+    rows = to_storage(stamp(bars))
     order = ("timeframe", "ticker", "date")
     if cluster:
         rows = rows.repartitionByRange(*order)
-    writer = rows.sortWithinPartitions(*order).write.partitionBy("timeframe")
+    # observed last: the sampling pass of a range partitioning must not count
+    rows = rows.sortWithinPartitions(*order).observe(seen, *counts)
+    writer = rows.write.partitionBy("timeframe")
     if mode == "replace":
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     else:

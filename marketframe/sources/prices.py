@@ -56,7 +56,7 @@ def read_prices(
     bars = spark.read.parquet(path).filter(
         (F.col("date") > F.add_months(day, -12 * years)) & (F.col("date") <= day)
     )
-    bars = nan_to_null(bars)
+    bars = nan_to_null(bars.select("ticker", F.col("date").cast("date").alias("date"), *bar_values(bars)))
     return in_universe(bars, universe) if universe is not None else bars
 
 

@@ -153,6 +153,13 @@ def test_store_is_idempotent_in_replace_mode(spark, bars):
         write_bars(everything, path, mode="upsert")
 
 
+def test_clustered_store_has_the_same_rows(spark, bars):
+    plain, clustered = scratch_path(spark, "store"), scratch_path(spark, "store")
+    everything = resample_all(bars)
+    assert write_bars(everything, plain) == write_bars(everything, clustered, cluster=True)
+    assert spark.read.parquet(plain).count() == spark.read.parquet(clustered).count()
+
+
 def test_empty_frame_writes_nothing(spark, bars):
     path = scratch_path(spark, "store")
     assert set(write_bars(resample_all(bars.limit(0)), path).values()) == {0}
