@@ -6,11 +6,13 @@ Each ``*_SQL`` constant states the same derivation for DuckDB.
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketframe.schemas import BAR_VALUES
 from marketframe.session import spread
 
 
-# tables whose rows cost much to process, and their keys
-SPREAD_KEYS = {"documents": "doc_id", "customer": "c_custkey"}
+# Tables whose rows cost much to process, and the key to deal them out by when the input is so small that
+# it has fewer splits than there are cores.
+SPREAD_KEYS = {"documents": "doc_id", "customer": "c_custkey", "lineitem": "l_suppkey"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,7 +82,7 @@ def supplier_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     price, order = F.col("l_extendedprice"), F.expr(LINE_ORDER)
     return (
         table(spark, sf_dir, "lineitem")
-        .groupBy(F.col("l_suppkey").cast("string").alias("ticker"), F.col("l_shipdate").cast("date").alias("date"))
+        .groupBy("l_suppkey", F.col("l_shipdate").cast("date").alias("date"))
         .agg(
             F.min_by(price, order).alias("open"),
             F.max(price).alias("high"),
@@ -89,6 +91,7 @@ def supplier_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.max_by(price * (1 - F.col("l_discount")), order).alias("adj_close"),
             F.sum("l_quantity").alias("volume"),
         )
+        .select(F.col("l_suppkey").cast("string").alias("ticker"), "date", *BAR_VALUES)
     )
 
 
