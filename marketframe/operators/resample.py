@@ -57,7 +57,7 @@ def resample(bars: DataFrame, timeframe: str) -> DataFrame:
         raise ValueError(f"unknown timeframe {timeframe!r}, expected one of {TIMEFRAMES}")
     values = bar_values(bars)
     if timeframe == "daily":
-        return bars.select("ticker", "date", *values)
+        return bars.select("ticker", F.col("date").cast("date").alias("date"), *values)
     if timeframe in YEARS_PER_BAR:
         yearly = resample(bars, "yearly")
         year = F.year("date")
@@ -93,7 +93,7 @@ def resample_all(bars: DataFrame, timeframes: tuple[str, ...] = TIMEFRAMES) -> D
     daily = bars.select(
         "ticker",
         F.lit("daily").alias("timeframe"),
-        "date",
+        F.col("date").cast("date").alias("date"),
         *bar_values(bars),
         F.lit(None).cast("string").alias("period"),
     )

@@ -82,6 +82,14 @@ def test_adjusted_close_is_carried_only_if_present(spark, bars):
         assert resample(adjusted, timeframe).filter("adj_close <> close / 2").isEmpty()
 
 
+def test_time_stamps_give_dated_bars(spark, bars):
+    stamped = bars.withColumn("date", F.col("date").cast("timestamp"))
+    for timeframe in TIMEFRAMES:
+        plain, other = resample(bars, timeframe).drop("volume"), resample(stamped, timeframe).drop("volume")
+        assert other.schema == plain.schema and rows(other) == rows(plain)
+    assert resample_all(stamped).schema["date"].dataType.simpleString() == "date"
+
+
 def test_unknown_timeframe(bars):
     with pytest.raises(ValueError):
         resample(bars, "hourly")
