@@ -24,6 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import arrow_udf
+from pyspark.sql.types import LongType
 
 from marketframe.llm.common import stored
 
@@ -55,7 +56,7 @@ def fingerprint(text: str | None, size: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
 
 
-@arrow_udf("long")
+@arrow_udf(LongType())
 def fingerprints(texts: pa.Array) -> pa.Array:
     """``fingerprint`` of a column, as a signed long."""
     found = np.fromiter((fingerprint(t.as_py()) for t in texts), np.uint64, len(texts))
