@@ -7,8 +7,9 @@ UP_ARROW, DOWN_ARROW = "↑", "↓"  # fixed values
 
 
 def rupiah(amount: Column) -> Column:
-    """``1234567.9`` as ``Rp 1,234,567``: the fraction is cut off, not rounded."""
-    return F.format_string("Rp %,d", amount.try_cast("bigint"))
+    """``1234567.9`` as ``Rp 1,234,567``: the fraction is cut off, not rounded.  Null for null and NaN."""
+    whole = F.nanvl(amount.cast("double"), F.lit(None).cast("double")).try_cast("bigint")
+    return F.when(whole.isNotNull(), F.format_string("Rp %,d", whole))
 
 
 def day_text(day: Column) -> Column:

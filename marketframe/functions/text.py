@@ -15,7 +15,7 @@ WHITE_SPACE = (
 # text in round brackets, up to the first closing bracket on the same line
 BRACKETED = r"\([^)\n]*\)"
 
-AGENCY_MARKS = ("IQPlus,", "(end)", '"', "“", "”", "‘", "’")
+AGENCY_MARKS = ("IQPlus,", '"', "“", "”", "‘", "’", "(end)")
 
 SENTENCE_END = ". "
 

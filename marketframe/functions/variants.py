@@ -21,7 +21,7 @@ def to_text(value: Column) -> Column:
 
 
 def is_object(value: Column) -> Column:
-    """Only objects can be read as a struct, whatever their fields."""
+    """Only objects can be read as a struct, whatever their fields.  False for null."""
     return F.try_variant_get(value, "$", "struct<_:variant>").isNotNull()
 
 
@@ -41,12 +41,12 @@ def truthy(value: Column, text: Column | None = None) -> Column:
     return F.coalesce(present, F.lit(False))
 
 
-def first_truthy(value: Column, fallback: Column) -> Column:
-    """``value`` if it is truthy, else ``fallback`` as it is.
+def first_truthy(value: Column, chosen: Column, fallback: Column, text: Column | None = None) -> Column:
+    """``chosen``, a reading of ``value``, if ``value`` is truthy, else ``fallback`` as it is.
 
     Not ``coalesce``: a zero or an empty string gives way to the fallback too.
     """
-    return F.when(truthy(value), value).otherwise(fallback)
+    return F.when(truthy(value, text), chosen).otherwise(fallback)
 
 
 def to_number(value: Column, text: Column | None = None) -> Column:

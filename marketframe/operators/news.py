@@ -1,5 +1,8 @@
 """The article backlog: what is pending, its chunks, their summaries and the keyed update."""
 
+import sys
+import types
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -12,6 +15,9 @@ from marketframe.schemas import CHUNK_CHARS, SHORT_TEXT_CHARS
 # takes the texts of a batch, gives one summary (or None) for each
 Summarizer = Callable[[list[str]], list[str | None]]
 
+# texts given to a model at a time, at most
+MODEL_BATCH = 64
+
 
 def pending(articles: DataFrame) -> DataFrame:
     """Articles without a summary, or with a blank one."""
@@ -32,50 +38,76 @@ def is_short(cleaned: Column) -> Column:
     return F.length(cleaned) < SHORT_TEXT_CHARS
 
 
+def key_columns(articles: DataFrame) -> list[str]:
+    """What tells articles apart: their id, within their collection if there are several."""
+    return [c for c in ("collection", "article_id") if c in articles.columns]
+
+
 def _cleaned_content() -> Column:
     return F.when(~is_blank(F.col("content")), clean_text(F.col("content")))
 
 
+def _chunks(cleaned: Column, max_chars: int) -> Column:
+    return F.when(~is_short(cleaned), chunk_text(cleaned, max_chars))
+
+
 def explode_chunks(articles: DataFrame, max_chars: int = CHUNK_CHARS) -> DataFrame:
-    """``article_id, pos, chunk`` of the cleaned content, for articles that are not blank or short."""
-    cleaned = articles.select("article_id", _cleaned_content().alias("cleaned"))
-    chunks = F.when(~is_short(F.col("cleaned")), chunk_text(F.col("cleaned"), max_chars))
-    return cleaned.select("article_id", F.posexplode(chunks).alias("pos", "chunk"))
+    """Key columns, ``pos`` and ``chunk`` of the cleaned content, for articles that are not blank or short."""
+    keys = key_columns(articles)
+    cleaned = articles.select(*keys, _cleaned_content().alias("cleaned"))
+    return cleaned.select(*keys, F.posexplode(_chunks(F.col("cleaned"), max_chars)).alias("pos", "chunk"))
 
 
-def summarize_chunks(chunks: DataFrame, load: Callable[[], Summarizer]) -> DataFrame:
-    """``article_id, pos, summary`` by a Python model.
+def summarize_chunks(chunks: DataFrame, load: Callable[[], Summarizer], batch_size: int = MODEL_BATCH) -> DataFrame:
+    """The rows of ``chunks`` with a ``summary`` of each chunk by a Python model, in place of the chunk.
 
-    ``load`` runs once per task and returns the summariser, which gets Arrow batches of texts.  If a
-    batch fails, its texts are tried one by one and only those that fail get a null summary.  Chunks
-    are dealt out evenly first: the model's cost per chunk dwarfs the move, and long articles spread
-    over many tasks.
+    ``load`` returns the summariser and runs once per Python worker, however many tasks the worker gets.  A call
+    gets at most ``batch_size`` texts.  If a call fails, or does not answer every text, its texts are tried one by
+    one, and only those that fail get a null summary.  Rows whose chunk is null pass by.  Chunks are dealt
+    out evenly first: the model's cost per chunk dwarfs the move, and long articles spread over many tasks.
     """
+    token = uuid.uuid4().hex
+    others = [c for c in chunks.columns if c != "chunk"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        summarizer = load()
+        # lives in the worker process, so the next task finds it again
+        loaded = sys.modules.setdefault("_marketframe_models", types.ModuleType("_marketframe_models")).__dict__
+        if token not in loaded:
+            loaded[token] = load()
+        summarizer = loaded[token]
+
+        def call(texts):
+            answers = summarizer(texts)
+            if len(answers) != len(texts):
+                raise ValueError("the model did not answer every text")
+            return list(answers)
 
         def one(text):
             try:
-                return summarizer([text])[0]
+                return call([text])[0]
             except Exception:
                 return None
 
-        for batch in batches:
-            texts = batch["chunk"].tolist()
+        def many(texts):
             try:
-                summaries = summarizer(texts) if texts else []
+                return call(texts)
             except Exception:
-                summaries = [one(text) for text in texts]
-            yield pd.DataFrame(
-                {"article_id": batch["article_id"], "pos": batch["pos"], "summary": pd.Series(summaries, index=batch.index, dtype=object)}
-            )
+                return [one(text) for text in texts]
 
-    key_type = chunks.schema["article_id"].dataType.simpleString()
+        for batch in batches:
+            given = [i for i, chunk in enumerate(batch["chunk"]) if isinstance(chunk, str)]
+            summaries = [None] * len(batch)
+            for start in range(0, len(given), batch_size):
+                part = given[start : start + batch_size]
+                for i, summary in zip(part, many([batch["chunk"].iloc[i] for i in part])):
+                    summaries[i] = summary
+            yield batch[others].assign(summary=pd.Series(summaries, index=batch.index, dtype=object))
+
+    fields = ", ".join(f"`{c}` {chunks.schema[c].dataType.simpleString()}" for c in others)
     return (
-        chunks.filter(F.col("chunk") != "")
-        .repartition("article_id", "pos")
-        .mapInPandas(run, schema=f"article_id {key_type}, pos int, summary string")
+        chunks.filter(F.coalesce(F.col("chunk") != "", F.lit(True)))
+        .repartition(*key_columns(chunks), "pos")
+        .mapInPandas(run, schema=f"{fields}, summary string")
     )
 
 
@@ -84,20 +116,22 @@ def assemble_summaries(chunk_summaries: DataFrame) -> DataFrame:
 
     A group holds the chunks of one article, which came out of a single row and fit into one again.
     """
-    return chunk_summaries.groupBy("article_id").agg(
+    return chunk_summaries.groupBy(*key_columns(chunk_summaries)).agg(
         join_in_order(F.col("pos"), F.col("summary")).alias("summary")
     )
 
 
-def merge_summaries(articles: DataFrame, summaries: DataFrame) -> DataFrame:
-    """Articles with their summary replaced where ``summaries`` has a row for the key, even a null one."""
-    new = summaries.select("article_id", F.col("summary").alias("_new"), F.lit(True).alias("_hit"))
+def merge_summaries(articles: DataFrame, summaries: DataFrame, version: str | None = None) -> DataFrame:
+    """Articles with their summary replaced where ``summaries`` has a row for the key, even a null one.
+
+    Of several rows for one key that with the greatest ``version`` counts; without a version the greatest
+    summary, a null one only if there is no other.
+    """
+    keys = [c for c in key_columns(articles) if c in summaries.columns]
+    latest = F.max_by("summary", version) if version else F.max("summary")
+    new = summaries.groupBy(*keys).agg(latest.alias("_new")).withColumn("_hit", F.lit(True))
     summary = F.when(F.col("_hit"), F.col("_new")).otherwise(F.col("summary"))
-    return (
-        articles.join(new, "article_id", "left")
-        .withColumn("summary", summary)
-        .select(*articles.columns)
-    )
+    return articles.join(new, keys, "left").withColumn("summary", summary).select(*articles.columns)
 
 
 def summarize_text(cleaned: Column, max_chars: int = CHUNK_CHARS, sentences: int = 2) -> Column:
@@ -109,7 +143,9 @@ def summarize_text(cleaned: Column, max_chars: int = CHUNK_CHARS, sentences: int
     return F.when(is_short(cleaned), cleaned).otherwise(F.array_join(leads, " "))
 
 
-def summarize_pending(articles: DataFrame, load: Callable[[], Summarizer] | None = None) -> DataFrame:
+def summarize_pending(
+    articles: DataFrame, load: Callable[[], Summarizer] | None = None, batch_size: int = MODEL_BATCH
+) -> DataFrame:
     """The whole article table with every pending article summarised; finished ones stay as they are.
 
     Without a model these are projections: no shuffle, no Python.  Cleaning is a projection of its own,
@@ -126,11 +162,15 @@ def summarize_pending(articles: DataFrame, load: Callable[[], Summarizer] | None
             )
             .drop("_cleaned")
         )
+    # cleaned once: a row per chunk, and one without a chunk for articles whose text stands as it is
+    keys = key_columns(articles)
     backlog = pending(articles)
-    modelled = assemble_summaries(summarize_chunks(explode_chunks(backlog), load))
-    short = (
-        backlog.withColumn("_cleaned", _cleaned_content())
-        .withColumn("summary", F.when(is_short(F.col("_cleaned")), F.col("_cleaned")))
-        .drop("_cleaned")
+    cleaned = backlog.select(*keys, _cleaned_content().alias("cleaned"))
+    short = F.when(is_short(F.col("cleaned")), F.col("cleaned")).alias("short")
+    pieces = cleaned.select(*keys, short, F.posexplode_outer(_chunks(F.col("cleaned"), CHUNK_CHARS)).alias("pos", "chunk"))
+    summaries = summarize_chunks(pieces, load, batch_size)
+    chunked = F.max(F.col("pos").isNotNull())
+    assembled = summaries.groupBy(*keys).agg(
+        F.when(chunked, join_in_order(F.col("pos"), F.col("summary"))).otherwise(F.max("short")).alias("summary")
     )
-    return finished(articles).unionByName(merge_summaries(short, modelled))
+    return finished(articles).unionByName(merge_summaries(backlog, assembled))

@@ -24,12 +24,22 @@ def bar_values(bars: DataFrame) -> list[str]:
     return [c for c in BAR_VALUES if c in bars.columns]
 
 
+def lower_names(bars: DataFrame) -> DataFrame:
+    """Source names (``Date``, ``Adj Close``, ``Ticker``) as stored names (``date``, ``adj_close``, ``ticker``)."""
+    return bars.withColumnsRenamed({c: c.lower().replace(" ", "_") for c in bars.columns})
+
+
+def nan_to_null(bars: DataFrame) -> DataFrame:
+    """Missing quotes often arrive as NaN, which would turn every sum and maximum into NaN."""
+    return bars.withColumns({c: F.nanvl(c, F.lit(None).cast("double")) for c in bar_values(bars)})
+
+
 def bar_start(day: Column, timeframe: str) -> Column:
     """First day (Monday for weeks) of the bar that holds ``day``."""
     return F.trunc(day, TRUNC_UNIT[timeframe])
 
 
-def _combine(bars: DataFrame, order: str) -> list[Column]:
+def _combine(bars: DataFrame, order: Column | str) -> list[Column]:
     rules = {
         "open": F.min_by("open", order),
         "high": F.max("high"),
@@ -47,9 +57,13 @@ def _years_from_start(year: Column, years: int) -> Column:
     return F.floor((year - first_year) / years)
 
 
-def resample(bars: DataFrame, timeframe: str) -> DataFrame:
+def resample(bars: DataFrame, timeframe: str, ties: tuple[str, ...] = ()) -> DataFrame:
     """Bars of one timeframe: ``ticker, date, open, high, low, close[, adj_close], volume[, period]``.
 
+    If a ticker has several rows of one date, as time-stamped or appended input may, ``ties`` names the columns
+    that order them; without it any of them may give the open and the close.  Ordering by several columns
+    makes Spark sort before it aggregates.
+
     Multi-year bars are dated by the start of their last year and carry ``period`` (first and last year
     seen).  They build on yearly bars, which are so few per ticker that the second step costs little.
     """
@@ -59,7 +73,7 @@ def resample(bars: DataFrame, timeframe: str) -> DataFrame:
     if timeframe == "daily":
         return bars.select("ticker", F.col("date").cast("date").alias("date"), *values)
     if timeframe in YEARS_PER_BAR:
-        yearly = resample(bars, "yearly")
+        yearly = resample(bars, "yearly", ties)
         year = F.year("date")
         return (
             yearly.withColumn("block", _years_from_start(year, YEARS_PER_BAR[timeframe]))
@@ -73,7 +87,7 @@ def resample(bars: DataFrame, timeframe: str) -> DataFrame:
         )
     return (
         bars.groupBy("ticker", bar_start(F.col("date"), timeframe).alias("start"))
-        .agg(*_combine(bars, "date"))
+        .agg(*_combine(bars, F.struct("date", *ties) if ties else "date"))
         .select("ticker", F.col("start").alias("date"), *values)
     )
 

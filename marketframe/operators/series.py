@@ -1,6 +1,5 @@
 """Chart series and the figures printed on a chart."""
 
-import math
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -12,38 +11,31 @@ from marketframe.schemas import CHART_DAYS, TIMEFRAMES
 
 SERIES_COLUMNS = ("date", "open", "high", "low", "close", "volume")
 
-# a thousand input splits of Spark's default size, 128 MiB
-BYTES_PER_SALT = 1000 * 128 * 1024**2
-
-
-def salts_for(size_in_bytes: int) -> int:
-    """How many parts to split a key into, so that one task gets the survivors of some 1000 input splits."""
-    return max(1, math.ceil(size_in_bytes / BYTES_PER_SALT))
-
-
-def _estimated_bytes(df: DataFrame) -> int:
-    """The size of a frame as the optimizer estimates it, from file sizes; runs no job."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+# parts that a key is split into before the newest rows of all parts are ranked together
+SALTS = 32
 
 
 def last_n(
-    bars: DataFrame, n: int = CHART_DAYS, keys: tuple[str, ...] = ("ticker",), salts: int | None = None
+    bars: DataFrame,
+    n: int = CHART_DAYS,
+    keys: tuple[str, ...] = ("ticker",),
+    salts: int = SALTS,
+    ties: tuple[str, ...] = (),
 ) -> DataFrame:
-    """The newest ``n`` rows per key.
+    """The newest ``n`` rows per key; of rows with equal dates those with the greatest ``ties`` columns.
 
-    Before the shuffle Spark keeps only ``n`` rows per key and task.  A hot key found in every input split
-    still sends ``n`` rows from each of them to one task, which is fine for a thousand splits but not for
-    a million.  So beyond that size rows are ranked per key and salt first (the salt being the input
-    split), and the at most ``n * salts`` survivors per key again.  The newest ``n`` of a whole are among
-    the newest ``n`` of its parts: the result is exact.  Below that size the second shuffle is spared.
+    Rows are ranked per key and salt first (the salt being the input split), then the at most ``n * salts``
+    survivors of each key again.  The newest ``n`` of a whole are among the newest ``n`` of its parts: the
+    result is exact.  Before either shuffle Spark keeps only ``n`` rows per group and task, so a task of the
+    first ranking gets ``n`` rows from one in ``salts`` splits.  Raise ``salts`` with the number of splits that
+    hold a hot key; ``salts=1`` ranks once, for keys that sit in few splits.
     """
-    newest = F.col("date").desc()
-    salts = salts_for(_estimated_bytes(bars)) if salts is None else salts
+    newest = [F.col("date").desc(), *[F.col(c).desc() for c in ties]]
     survivors = bars
     if salts > 1:
         salted = bars.withColumn("_salt", F.spark_partition_id() % salts)
-        survivors = _newest(salted, n, Window.partitionBy(*keys, "_salt").orderBy(newest)).drop("_salt")
-    return _newest(survivors, n, Window.partitionBy(*keys).orderBy(newest))
+        survivors = _newest(salted, n, Window.partitionBy(*keys, "_salt").orderBy(*newest)).drop("_salt")
+    return _newest(survivors, n, Window.partitionBy(*keys).orderBy(*newest))
 
 
 def _newest(bars: DataFrame, n: int, window) -> DataFrame:
@@ -125,26 +117,30 @@ def _with_change(df: DataFrame) -> DataFrame:
         {
             "change": change,
             "pct_change": percent,
-            "direction": F.when(change >= 0, "up").otherwise("down"),
+            "direction": F.when(change >= 0, "up").when(change < 0, "down"),
             "change_label": F.concat(F.lit("Perubahan: "), change_text(change, percent)),
         }
     )
 
 
 def extremes(series: DataFrame) -> DataFrame:
-    """Lowest and highest close with their days, for series of more than one point."""
-    found = series.groupBy(*_keys(series)).agg(F.count("*").alias("n_points"), *_low_high())
+    """Lowest and highest close with their days, for series of more than one point; points without a close don't count."""
+    found = valid_close(series).groupBy(*_keys(series)).agg(F.count("*").alias("n_points"), *_low_high())
     return _with_extreme_labels(found.filter(_more_than_one())).drop("n_points")
 
 
 def price_change(series: DataFrame) -> DataFrame:
-    """First and last close, change, percent change and direction, for series of more than one point."""
-    ends = series.groupBy(*_keys(series)).agg(F.count("*").alias("n_points"), *_first_last())
+    """First and last close, change, percent change and direction, for series of more than one point.
+
+    Points without a close don't count.
+    """
+    ends = valid_close(series).groupBy(*_keys(series)).agg(F.count("*").alias("n_points"), *_first_last())
     return _with_change(ends.filter(_more_than_one())).drop("n_points")
 
 
 def _any_volume():
-    return F.coalesce(F.sum("volume") > 0, F.lit(False)).alias("has_volume")
+    volume = F.nanvl(F.col("volume").cast("double"), F.lit(0.0))
+    return F.coalesce(F.sum(volume) > 0, F.lit(False)).alias("has_volume")
 
 
 def has_volume(series: DataFrame) -> DataFrame:
@@ -170,6 +166,6 @@ def chart_report(*parts: DataFrame) -> DataFrame:
 
 
 def _figures(series: DataFrame) -> DataFrame:
-    return series.groupBy(*_keys(series)).agg(
+    return valid_close(series).groupBy(*_keys(series)).agg(
         F.count("*").alias("n_points"), _any_volume(), *_low_high(), *_first_last()
     )

@@ -3,21 +3,29 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketframe.functions import is_object, safe_ratio, to_number, to_text, truthy
+from marketframe.functions import first_truthy, is_object, safe_ratio, to_number, to_text
 from marketframe.schemas import ISSUER_KEY, MEASURE_TAGS, MEASURES, STATEMENT_KEY, UNKNOWN_ISSUER
 
 
+# numbers that JSON doesn't know but many writers use, as a value of their own
+NOT_A_NUMBER = r"([:\[,]\s*)(?:NaN|-?Infinity)(?=\s*[,}\]])"
+
+
 def parse_documents(documents: DataFrame) -> DataFrame:
-    """Add ``v``, the parsed VARIANT of the text in ``raw``; null when the text is not JSON."""
-    return documents.withColumn("v", F.try_parse_json("raw"))
+    """Add ``v``, the parsed VARIANT of the text in ``raw``; null when the text is not JSON.
+
+    A text that only fails for a NaN or an infinity is read with a null in its place.
+    """
+    lenient = F.try_parse_json(F.regexp_replace("raw", NOT_A_NUMBER, "$1null"))
+    return documents.withColumn("v", F.coalesce(F.try_parse_json("raw"), lenient))
 
 
 def split_corrupt(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(good, bad)``: documents that parsed, and those to report.
+    """``(good, bad)``: documents that are JSON objects, and those to report.
 
     Documents from the bronze table are told apart by its ``corrupt`` partitions.
     """
-    corrupt = F.col("corrupt") if "corrupt" in parsed.columns else F.col("v").isNull()
+    corrupt = F.col("corrupt") if "corrupt" in parsed.columns else ~is_object(F.col("v"))
     return parsed.filter(~corrupt), parsed.filter(corrupt)
 
 
@@ -56,7 +64,7 @@ def map_statement(parsed: DataFrame, dtype: str = "double") -> DataFrame:
     def measure(tag: str, fallback: str | None = None) -> Column:
         if fallback is None:
             return number(tag)
-        return F.when(truthy(value(tag), F.col(f"texts.{tag}")), number(tag)).otherwise(number(fallback))
+        return first_truthy(value(tag), number(tag), number(fallback), F.col(f"texts.{tag}"))
 
     issuer = F.col("issuer")
     return read.select(

@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketframe.operators.resample import nan_to_null
 from marketframe.schemas import PRICE_FIELDS
 
 
@@ -15,12 +16,15 @@ def split_name(column: str) -> tuple[str, str] | None:
     return (field, ticker) if field in PRICE_FIELDS else None
 
 
-def normalize_wide(wide: DataFrame, id_col: str = "Date") -> DataFrame:
+def normalize_wide(wide: DataFrame, id_col: str = "Date", ticker: str | None = None) -> DataFrame:
     """``Date, "<Field> <Ticker>"...`` to ``ticker, date, open, high, low, close[, adj_close], volume``.
 
     The column names are known when the plan is built, so each input row expands in place into one row
-    per ticker: no shuffle.  Days on which a ticker has no value at all give no row.
+    per ticker: no shuffle.  Days on which a ticker has no value at all give no row; NaN becomes null.
+    A frame whose columns are the plain fields holds one ticker: that in its ``Ticker`` column, or ``ticker``.
     """
+    if any(c in PRICE_FIELDS for c in wide.columns):
+        return _flat(wide, id_col, ticker)
     names = {c: split_name(c) for c in wide.columns if c != id_col}
     tickers = sorted({name[1] for name in names.values() if name})
     fields = [f for f in PRICE_FIELDS if any(name and name[0] == f for name in names.values())]
@@ -37,10 +41,22 @@ def normalize_wide(wide: DataFrame, id_col: str = "Date") -> DataFrame:
     )
     return (
         wide.select(F.col(f"`{id_col}`").cast("date").alias("date"), F.inline(rows))
-        .dropna(how="all", subset=[_lower(f) for f in fields])
         .select("ticker", "date", *[_lower(f) for f in fields])
+        .transform(nan_to_null)
+        .dropna(how="all", subset=[_lower(f) for f in fields])
     )
 
 
+def _flat(wide: DataFrame, id_col: str, ticker: str | None) -> DataFrame:
+    fields = [f for f in PRICE_FIELDS if f in wide.columns]
+    named = "Ticker" in wide.columns and ticker is None
+    if not named and ticker is None:
+        raise ValueError("plain field names need a 'Ticker' column or the ticker's name")
+    values = [F.col(f"`{f}`").cast("double").alias(_lower(f)) for f in fields]
+    symbol = F.col("Ticker") if named else F.lit(ticker)
+    rows = wide.select(symbol.alias("ticker"), F.col(f"`{id_col}`").cast("date").alias("date"), *values)
+    return nan_to_null(rows).dropna(how="all", subset=[_lower(f) for f in fields])
+
+
 def _lower(field: str) -> str:
     return field.lower().replace(" ", "_")

@@ -1,5 +1,11 @@
 """End-to-end jobs, composed of sources, operators and sinks."""
 
-from marketframe.plans.jobs import build_bar_store, chart_figures, load_statements, summarize_collection
+from marketframe.plans.jobs import (
+    build_bar_store,
+    chart_figures,
+    load_statements,
+    summarize_collection,
+    summarize_collections,
+)
 
-__all__ = ["build_bar_store", "chart_figures", "load_statements", "summarize_collection"]
+__all__ = ["build_bar_store", "chart_figures", "load_statements", "summarize_collection", "summarize_collections"]

@@ -1,8 +1,9 @@
 """The four jobs of the package."""
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from marketframe.operators.news import Summarizer, summarize_pending
@@ -16,7 +17,7 @@ from marketframe.sinks import (
     write_records_json,
     write_statements,
 )
-from marketframe.sources import read_articles, read_prices, read_raw_statements, read_statements, read_universe
+from marketframe.sources import read_articles, read_collections, read_prices, read_raw_statements, read_statements, read_universe
 
 
 def build_bar_store(
@@ -34,18 +35,29 @@ def load_statements(
     """Statement files to bronze and structured tables.
 
     Returns the number of statements loaded and the unreadable files.  The JSON files are read and parsed
-    once, for the bronze table, which is compact and splittable; the rest is built from there.  Both
-    tables are replaced, so a repeated run changes nothing.
+    once, for the bronze table, which is compact and splittable; the rest is built from there.  Files
+    that are in a table already, by their ``source_file``, are not added again: a repeated run changes
+    nothing, a run over new files adds them, and a run that was cut off is completed by the next one.
     """
-    write_raw_statements(read_statements(spark, json_path), bronze_path, mode="overwrite")
+    documents = read_statements(spark, json_path)
+    write_raw_statements(_missing(documents, spark, bronze_path), bronze_path)
     good, bad = split_corrupt(read_raw_statements(spark, bronze_path))
-    statements = transform_statements(good)
-    loaded = write_statements(statements, table_path, mode="overwrite")
+    statements = transform_statements(_missing(good, spark, table_path))
+    loaded = write_statements(statements, table_path)
     if export_path:
         write_records_json(spark.read.parquet(table_path), export_path)
     return loaded, bad.select("source_file", "raw")
 
 
+def _missing(rows: DataFrame, spark: SparkSession, path: str) -> DataFrame:
+    """Rows whose ``source_file`` the table at ``path`` doesn't have."""
+    try:
+        known = spark.read.parquet(path).select("source_file")
+    except AnalysisException:
+        return rows
+    return rows.join(known, "source_file", "left_anti")
+
+
 def summarize_collection(
     spark: SparkSession, articles_path: str, version_path: str, load: Callable[[], Summarizer] | None = None
 ) -> None:
@@ -53,6 +65,13 @@ def summarize_collection(
     write_article_version(summarize_pending(read_articles(spark, articles_path), load), version_path)
 
 
+def summarize_collections(
+    spark: SparkSession, paths: Mapping[str, str], version_path: str, load: Callable[[], Summarizer] | None = None
+) -> None:
+    """The same for several collections at once, told apart by a ``collection`` column."""
+    write_article_version(summarize_pending(read_collections(spark, paths), load), version_path)
+
+
 def chart_figures(spark: SparkSession, store_path: str) -> DataFrame:
     """Chart figures of every ticker and timeframe in a bar store."""
     return chart_report(*chart_parts(spark.read.parquet(store_path)))

@@ -57,6 +57,21 @@ def chart_price_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(price_change(_customer_series(spark, sf_dir)))
 
 
+def _gapped_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer series without a close on two of three days: null on one, NaN on the next."""
+    third = F.dayofyear("date") % 3
+    close = F.when(third == 0, None).when(third == 1, float("nan")).otherwise(F.col("close"))
+    return _customer_series(spark, sf_dir).withColumn("close", close)
+
+
+def extremes_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extremes(_gapped_series(spark, sf_dir))
+
+
+def price_change_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(price_change(_gapped_series(spark, sf_dir)))
+
+
 def volume_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders still open count as zero volume, so that some customers have none."""
     orders = t.table(spark, sf_dir, "orders").select(
@@ -87,6 +102,8 @@ QUERIES = {
     "chart_series": series_all_timeframes,
     "extremes": chart_extremes,
     "price_change": chart_price_change,
+    "extremes_with_gaps": extremes_with_gaps,
+    "price_change_with_gaps": price_change_with_gaps,
     "has_volume": volume_flags,
     "chart_report": report_of_prices,
     "chart_report_from_store": report_of_store,
@@ -148,6 +165,14 @@ ORACLES = {
     "price_change": f"""{CUSTOMER_SERIES_SQL}
         SELECT *, {CHANGE_SQL}
         FROM (SELECT ticker, timeframe, {FIRST_LAST_SQL} FROM series GROUP BY 1, 2 HAVING count(*) > 1)""",
+    "extremes_with_gaps": f"""{CUSTOMER_SERIES_SQL}
+        SELECT *, {EXTREME_LABELS_SQL}
+        FROM (SELECT ticker, timeframe, {LOW_HIGH_SQL} FROM series WHERE dayofyear(date) % 3 = 2
+              GROUP BY 1, 2 HAVING count(*) > 1)""",
+    "price_change_with_gaps": f"""{CUSTOMER_SERIES_SQL}
+        SELECT *, {CHANGE_SQL}
+        FROM (SELECT ticker, timeframe, {FIRST_LAST_SQL} FROM series WHERE dayofyear(date) % 3 = 2
+              GROUP BY 1, 2 HAVING count(*) > 1)""",
     "has_volume": """
         SELECT CAST(o_custkey AS VARCHAR) AS ticker,
                sum(CASE WHEN o_orderstatus = 'F' THEN o_totalprice ELSE 0 END) > 0 AS has_volume

@@ -16,8 +16,8 @@ from marketframe.operators.news import (
 )
 from marketframe.queries import tables as t
 from marketframe.session import scratch_path
-from marketframe.sources import read_articles, read_collections
-from marketframe.streaming import stream_pending
+from marketframe.sources import read_collections
+from marketframe.streaming import read_drained, stream_pending
 
 
 def _lead_model():
@@ -89,7 +89,7 @@ def chunk_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def articles_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The backlog drained by two incremental runs; the second finds only the second collection's file."""
+    """The backlog drained by two incremental runs; the second finds only the second file as new."""
     source, out, state = (scratch_path(spark, n) for n in ("articles", "summaries", "state"))
     t.articles(spark, sf_dir).write.parquet(source)
     stream_pending(spark, source, out, state).awaitTermination()
@@ -97,7 +97,34 @@ def articles_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
         "append"
     ).parquet(source)
     stream_pending(spark, source, out, state).awaitTermination()
-    return read_articles(spark, out)
+    return read_drained(spark, out)
+
+
+def _failing_model():
+    def load():
+        def summarize(texts):
+            raise RuntimeError("model error")
+
+        return summarize
+
+    return load
+
+
+def articles_streamed_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The model fails in the first run; the second run, without new files, takes the articles up again."""
+    source, out, state = (scratch_path(spark, n) for n in ("articles", "summaries", "state"))
+    t.articles(spark, sf_dir).write.parquet(source)
+    stream_pending(spark, source, out, state, _failing_model()).awaitTermination()
+    stream_pending(spark, source, out, state, _lead_model()).awaitTermination()
+    return read_drained(spark, out)
+
+
+def collections_summarized_by_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two collections whose ids overlap, through one job with the model."""
+    paths = {"articles": scratch_path(spark, "articles"), "articles2": scratch_path(spark, "articles")}
+    t.articles(spark, sf_dir).write.parquet(paths["articles"])
+    t.page_articles(spark, sf_dir).write.parquet(paths["articles2"])
+    return summarize_pending(read_collections(spark, paths), _lead_model()).drop("content")
 
 
 QUERIES = {
@@ -111,6 +138,8 @@ QUERIES = {
     "articles_summarized_by_model": articles_summarized_by_model,
     "articles_merged": articles_merged,
     "articles_streamed": articles_streamed,
+    "articles_streamed_retry": articles_streamed_retry,
+    "collections_summarized_by_model": collections_summarized_by_model,
 }
 
 # --- expected results -------------------------------------------------------------------------
@@ -128,9 +157,14 @@ def _is_blank(text: str) -> str:
     return f"({text} IS NULL OR {_strip(text)} = '')"
 
 
+# fixed values: what is taken out of a text
+BRACKETED_PATTERN = r"\([^\n]*?\)"
+MARKS_PATTERN = r"""IQPlus,|"|“|”|‘|’|\(end\)"""
+
+
 def _clean(text: str) -> str:
-    unbracketed = rf"regexp_replace({text}, '\([^\n]*?\)', '', 'g')"
-    return _strip(rf"""regexp_replace({unbracketed}, 'IQPlus,|"|“|”|‘|’|\(end\)', '', 'g')""")
+    unbracketed = f"regexp_replace({text}, '{BRACKETED_PATTERN}', '', 'g')"
+    return _strip(f"regexp_replace({unbracketed}, '{MARKS_PATTERN}', '', 'g')")
 
 
 def chunks_sql(texts: str, max_chars: int = 1000) -> str:
@@ -194,6 +228,13 @@ ORACLES = {
         SELECT article_id, CASE WHEN l.doc_id IS NULL THEN summary WHEN l.toxic = 0 THEN concat('quality ', l.quality)
                END AS summary
         FROM ({t.ARTICLES_SQL}) a LEFT JOIN labels l ON a.article_id = l.doc_id""",
+    "articles_streamed_retry": f"""
+        WITH articles AS ({t.ARTICLES_SQL})
+        SELECT article_id, coalesce(content, '') AS content, summary FROM ({_summarized_sql('articles')})""",
+    "collections_summarized_by_model": f"""
+        WITH articles AS ({t.ARTICLES_SQL}), others AS ({PAGES_SQL})
+        SELECT 'articles' AS collection, article_id, summary FROM ({_summarized_sql('articles')})
+        UNION ALL SELECT 'articles2', article_id, summary FROM ({_summarized_sql('others')})""",
     "articles_streamed": f"""
         WITH articles AS ({t.ARTICLES_SQL} UNION ALL SELECT -1 - page_id, html, NULL FROM pages)
         SELECT article_id, coalesce(content, '') AS content, summary FROM ({_summarized_sql('articles')})""",

@@ -24,6 +24,7 @@ from marketframe.sinks import write_bars
 from marketframe.sources import read_bars, read_prices, read_universe
 
 AS_OF = date(2001, 8, 1)
+TWO_TICKERS = ("1-URGENT", "2-HIGH")
 
 
 def _rounded(bars: DataFrame) -> DataFrame:
@@ -70,7 +71,7 @@ def bars_storage_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bars_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Store written twice in replace mode, then every timeframe read back."""
+    """Store written twice, then every timeframe read back."""
     store = scratch_path(spark, "bars")
     bars = resample_all(t.priority_bars(spark, sf_dir))
     write_bars(bars, store)
@@ -87,7 +88,7 @@ def bars_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bars_of_tickers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weekly bars of two tickers from a store clustered by ticker."""
     store = scratch_path(spark, "bars")
-    write_bars(resample_all(t.priority_bars(spark, sf_dir)), store, cluster=True)
+    write_bars(resample_all(t.priority_bars(spark, sf_dir)), store)
     return _rounded(read_bars(spark, store, "weekly", ["1-URGENT", "4-NOT SPECIFIED"]))
 
 
@@ -104,21 +105,20 @@ def bars_saved_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.join(reported, "timeframe")
 
 
-def _write_universe(spark: SparkSession, sf_dir: str, path: str) -> None:
+def _universe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Supplier keys, and nation names that have no prices."""
-    suppliers = t.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("string").alias("Ticker"))
-    nations = t.table(spark, sf_dir, "nation").select(F.col("n_name").alias("Ticker"))
-    suppliers.unionByName(nations).write.option("header", True).csv(path)
+    suppliers = t.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("string").alias("ticker"))
+    return suppliers.unionByName(t.table(spark, sf_dir, "nation").select(F.col("n_name").alias("ticker")))
 
 
-def _universe(spark: SparkSession, sf_dir: str, suffix: str = "") -> DataFrame:
-    path = scratch_path(spark, "universe")
-    _write_universe(spark, sf_dir, path)
-    return read_universe(spark, path, suffix=suffix)
+def _write_universe(spark: SparkSession, sf_dir: str, path: str) -> None:
+    _universe(spark, sf_dir).withColumnRenamed("ticker", "Ticker").write.option("header", True).csv(path)
 
 
 def universe_tickers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _universe(spark, sf_dir, ".JK")
+    path = scratch_path(spark, "universe")
+    _write_universe(spark, sf_dir, path)
+    return read_universe(spark, path)
 
 
 def universe_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,6 +136,35 @@ def prices_trailing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_prices(spark, prices, _universe(spark, sf_dir), years=5, as_of=AS_OF)
 
 
+def prices_time_stamped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars stamped at four in the afternoon: both days at the ends of the window are whole days."""
+    prices = scratch_path(spark, "prices")
+    stamped = F.col("date").cast("timestamp") + F.expr("INTERVAL 16 HOURS")
+    t.customer_bars(spark, sf_dir).withColumn("date", stamped).write.parquet(prices)
+    return read_prices(spark, prices, years=5, as_of=AS_OF)
+
+
+def prices_source_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The long layout as downloaded: capitalised names, ``Adj Close`` and ``Ticker`` among them."""
+    prices = scratch_path(spark, "prices")
+    source = {c: c.replace("_", " ").title() for c in ("ticker", "date", "open", "high", "low", "close", "adj_close", "volume")}
+    t.supplier_bars(spark, sf_dir).withColumnsRenamed(source).write.parquet(prices)
+    return _rounded(read_prices(spark, prices, years=5, as_of=AS_OF))
+
+
+def bars_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tickers, then the others, then newer and changed bars of the two, twice: nothing is lost or doubled."""
+    store = scratch_path(spark, "bars")
+    bars = resample_all(t.priority_bars(spark, sf_dir), TIMEFRAMES[:1])
+    two = F.col("ticker").isin(*TWO_TICKERS)
+    write_bars(bars.filter(two & (F.col("date") < "1997-01-01")), store)
+    write_bars(bars.filter(~two), store)
+    newer = bars.filter(two & (F.col("date") >= "1996-06-01")).withColumn("open", F.col("open") * 2)
+    write_bars(newer, store)
+    write_bars(newer, store)
+    return _rounded(read_bars(spark, store, "daily"))
+
+
 def bar_count_per_ticker(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bar_counts(resample_all(t.supplier_bars(spark, sf_dir)))
 
@@ -148,6 +177,14 @@ def wide_to_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize_wide(t.wide_prices(spark, sf_dir))
 
 
+def wide_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closes that arrive as NaN on every fifth day of a month."""
+    wide = t.wide_prices(spark, sf_dir)
+    gap = F.when(F.dayofmonth("Date") % 5 == 0, F.lit(float("nan")))
+    closes = {c: F.coalesce(gap, F.col(f"`{c}`")) for c in wide.columns if c.startswith("Close ")}
+    return normalize_wide(wide.withColumns(closes))
+
+
 QUERIES = {
     "bars_daily": _resampled(t.priority_bars, "daily"),
     "bars_weekly": _resampled(t.priority_bars, "weekly"),
@@ -169,9 +206,13 @@ QUERIES = {
     "universe_prices": universe_prices,
     "universe_missing": universe_missing,
     "prices_trailing": prices_trailing,
+    "prices_time_stamped": prices_time_stamped,
+    "prices_source_names": prices_source_names,
+    "bars_two_runs": bars_two_runs,
     "bar_counts": bar_count_per_ticker,
     "run_summary": resample_summary,
     "wide_to_long": wide_to_long,
+    "wide_with_gaps": wide_with_gaps,
 }
 
 # --- expected results -------------------------------------------------------------------------
@@ -267,6 +308,20 @@ ORACLES = {
         f"""SELECT * FROM bars WHERE ticker IN (SELECT ticker FROM ({UNIVERSE_SQL}))
             AND date > DATE '{AS_OF}' - INTERVAL 5 YEAR AND date <= DATE '{AS_OF}'""",
     ),
+    "prices_time_stamped": _with(
+        t.CUSTOMER_BARS_SQL,
+        f"SELECT * FROM bars WHERE date > DATE '{AS_OF}' - INTERVAL 5 YEAR AND date <= DATE '{AS_OF}'",
+    ),
+    "prices_source_names": _with(
+        t.SUPPLIER_BARS_SQL,
+        f"""SELECT * REPLACE (round(volume, 2) AS volume) FROM bars
+            WHERE date > DATE '{AS_OF}' - INTERVAL 5 YEAR AND date <= DATE '{AS_OF}'""",
+    ),
+    "bars_two_runs": _with(
+        t.PRIORITY_BARS_SQL,
+        f"""SELECT * REPLACE (CASE WHEN ticker IN {TWO_TICKERS} AND date >= DATE '1996-06-01' THEN open * 2 ELSE open END
+                AS open, round(volume, 2) AS volume) FROM bars""",
+    ),
     "bar_counts": _with(
         t.SUPPLIER_BARS_SQL,
         f"SELECT ticker, timeframe, count(*) AS n_rows FROM ({all_timeframes_sql(True)}) GROUP BY 1, 2",
@@ -280,4 +335,9 @@ ORACLES = {
     "wide_to_long": _with(
         t.PRIORITY_BARS_SQL, "SELECT * REPLACE (replace(ticker, ' ', '_') AS ticker) FROM bars"
     ),
+    "wide_with_gaps": _with(
+        t.PRIORITY_BARS_SQL,
+        """SELECT * REPLACE (replace(ticker, ' ', '_') AS ticker, CASE WHEN day(date) % 5 <> 0 THEN close END AS close)
+           FROM bars""",
+    ),
 }

@@ -13,11 +13,12 @@ from marketframe.operators.statements import (
     statement_summary,
     transform_statements,
 )
+from marketframe.plans import load_statements
 from marketframe.queries import tables as t
 from marketframe.schemas import STATEMENTS
 from marketframe.session import scratch_path
 from marketframe.sinks import write_raw_statements, write_records_json, write_statements
-from marketframe.sources import read_raw_statements, read_records, read_statements
+from marketframe.sources import read_raw_statements, read_records, read_statements, rejected_records
 
 
 def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,12 +48,50 @@ def statement_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def statements_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One JSON file per supplier, read back as documents."""
+    """One JSON file per supplier, all in one folder, read back as documents."""
     folder = scratch_path(spark, "statements")
-    t.supplier_documents(spark, sf_dir).write.partitionBy("s_suppkey").json(folder)
+    _write_files(t.supplier_documents(spark, sf_dir), folder)
     return statement_summary(transform_statements(read_statements(spark, folder)))
 
 
+def _write_files(documents: DataFrame, folder: str) -> None:
+    documents.drop("s_suppkey").write.option("maxRecordsPerFile", 1).json(folder)
+
+
+def statements_two_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the suppliers' files, then the other half, then the second folder again."""
+    first, second, bronze, table = (scratch_path(spark, n) for n in ("first", "second", "bronze", "table"))
+    documents = t.supplier_documents(spark, sf_dir)
+    _write_files(documents.filter("s_suppkey % 2 = 0"), first)
+    _write_files(documents.filter("s_suppkey % 2 = 1"), second)
+    for folder in (first, second, second):
+        load_statements(spark, folder, bronze, table)
+    return statement_summary(spark.read.parquet(table))
+
+
+def _write_record_files(spark: SparkSession, sf_dir: str) -> str:
+    """Lists of up to 100 customers' records, one per file, beside lone objects and files cut off."""
+    folder = scratch_path(spark, "records")
+    customers = t.table(spark, sf_dir, "customer")
+    record = F.struct(F.col("c_name").alias("nama"), F.col("c_acctbal").alias("aset"))
+    lists = customers.groupBy(F.floor(F.col("c_custkey") / 100)).agg(F.to_json(F.collect_list(record)).alias("value"))
+    others = customers.filter("c_custkey % 50 = 0").select(
+        F.when(F.col("c_custkey") % 100 == 0, F.to_json(record)).otherwise("[{").alias("value")
+    )
+    lists.select("value").unionByName(others).write.option("maxRecordsPerFile", 1).text(folder)
+    return folder
+
+
+def records_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = _write_record_files(spark, sf_dir)
+    return read_records(spark, folder, layout="array", glob="*.txt").select("nama", "aset", "ekuitas")
+
+
+def records_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rejected = rejected_records(spark, _write_record_files(spark, sf_dir), glob="*.txt")
+    return rejected.groupBy("reason").agg(F.count("*").alias("n_files"))
+
+
 def statements_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw documents stored unchanged; every stored document is counted, statement or not."""
     bronze = scratch_path(spark, "bronze")
@@ -104,6 +143,9 @@ QUERIES = {
     "statement_ratios": statement_ratios,
     "statement_ranking": statement_ranking,
     "statements_from_files": statements_from_files,
+    "statements_two_loads": statements_two_loads,
+    "records_array": records_array,
+    "records_rejected": records_rejected,
     "statements_bronze": statements_bronze,
     "statements_from_bronze": statements_from_bronze,
     "statements_exported": statements_exported,
@@ -119,24 +161,32 @@ SUMMARY_COLUMNS = "nama, pendapatan, laba_bersih, margin_laba, aset, ekuitas, ra
 
 TRANSFORMED_SQL = f"SELECT *, {RATIOS_SQL} FROM ({t.CUSTOMER_STATEMENTS_SQL})"
 
+SUPPLIER_SUMMARY_SQL = f"""SELECT {SUMMARY_COLUMNS} FROM (SELECT *, {RATIOS_SQL} FROM (
+        SELECT s_name AS nama, CASE WHEN s_acctbal <> 0 THEN s_acctbal END AS pendapatan,
+               CASE WHEN s_acctbal <> 0 THEN s_acctbal / 4 END AS laba_bersih,
+               CAST(s_suppkey AS DOUBLE) AS aset,
+               CASE WHEN s_nationkey <> 0 THEN CAST(s_nationkey AS DOUBLE) END AS ekuitas FROM supplier))"""
+
 ORACLES = {
     "statements_clean": t.CUSTOMER_STATEMENTS_SQL,
     "statements_corrupt": """
         SELECT concat('customer-', c_custkey, '.json') AS source_file,
-               concat('{"emiten":"', c_name, '","laporan_keuangan":{"Assets":') AS raw
-        FROM customer WHERE c_nationkey = 5""",
+               CASE c_nationkey WHEN 4 THEN concat('[{"emiten":"', c_name, '"}]')
+                    ELSE concat('{"emiten":"', c_name, '","laporan_keuangan":{"Assets":') END AS raw
+        FROM customer WHERE c_nationkey IN (4, 5)""",
     "statement_ratios": f"SELECT source_file, margin_laba, rasio_ekuitas_aset FROM ({TRANSFORMED_SQL})",
     "statement_ranking": f"""SELECT {SUMMARY_COLUMNS} FROM ({TRANSFORMED_SQL})
-        ORDER BY margin_laba DESC NULLS LAST, nama""",
-    "statements_from_files": f"""SELECT {SUMMARY_COLUMNS} FROM (SELECT *, {RATIOS_SQL} FROM (
-        SELECT s_name AS nama, CASE WHEN s_acctbal <> 0 THEN s_acctbal END AS pendapatan,
-               CASE WHEN s_acctbal <> 0 THEN s_acctbal / 4 END AS laba_bersih,
-               CAST(s_suppkey AS DOUBLE) AS aset,
-               CASE WHEN s_nationkey <> 0 THEN CAST(s_nationkey AS DOUBLE) END AS ekuitas FROM supplier))""",
+        ORDER BY margin_laba DESC NULLS LAST, nama NULLS FIRST, source_file""",
+    "statements_from_files": SUPPLIER_SUMMARY_SQL,
+    "statements_two_loads": SUPPLIER_SUMMARY_SQL,
+    "records_array": "SELECT c_name AS nama, c_acctbal AS aset, CAST(NULL AS DOUBLE) AS ekuitas FROM customer",
+    "records_rejected": """
+        SELECT CASE WHEN c_custkey % 100 = 0 THEN 'no list' ELSE 'not JSON' END AS reason, count(*) AS n_files
+        FROM customer WHERE c_custkey % 50 = 0 GROUP BY 1""",
     "statements_bronze": """
-        SELECT count(*) FILTER (c_nationkey <> 5) AS n_documents,
-               count(*) FILTER (c_nationkey <> 5) AS n_loaded,
-               count(*) FILTER (c_nationkey = 5) AS n_unreadable,
+        SELECT count(*) FILTER (c_nationkey NOT IN (4, 5)) AS n_documents,
+               count(*) FILTER (c_nationkey NOT IN (4, 5)) AS n_loaded,
+               count(*) FILTER (c_nationkey IN (4, 5)) AS n_unreadable,
                count(*) FILTER (c_nationkey NOT IN (2, 3, 4, 5)) AS n_assets
         FROM customer""",
     "statements_from_bronze": t.CUSTOMER_STATEMENTS_SQL,

@@ -7,17 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketframe.schemas import BAR_VALUES
-from marketframe.session import spread
-
-
-# Tables whose rows cost much to process, and the key to deal them out by when the input is so small that
-# it has fewer splits than there are cores.
-SPREAD_KEYS = {"documents": "doc_id", "customer": "c_custkey", "lineitem": "l_suppkey"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(rows, SPREAD_KEYS[name]) if name in SPREAD_KEYS else rows
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 # --- price bars -------------------------------------------------------------------------------
@@ -104,16 +97,19 @@ SUPPLIER_BARS_SQL = """
            sum(l_quantity) AS volume
     FROM lineitem GROUP BY 1, 2"""
 
-PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")  # fixed values
+# columns of a wide frame are tickers: more than this belong into long form
+MOST_WIDE_TICKERS = 1000
 
 
 def wide_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Priority bars as downloaded: ``Date`` and one column per field and ticker."""
-    names = [p.replace(" ", "_") for p in PRIORITIES]
+    bars = priority_bars(spark, sf_dir).withColumn("ticker", F.translate("ticker", " ", "_"))
+    found = bars.select("ticker").distinct().limit(MOST_WIDE_TICKERS + 1).collect()
+    names = sorted(r["ticker"] for r in found if r["ticker"] is not None)
+    if len(names) > MOST_WIDE_TICKERS:
+        raise ValueError(f"more than {MOST_WIDE_TICKERS} tickers")
     wide = (
-        priority_bars(spark, sf_dir)
-        .withColumn("ticker", F.translate("ticker", " ", "_"))
-        .groupBy(F.col("date").alias("Date"))
+        bars.groupBy(F.col("date").alias("Date"))
         .pivot("ticker", names)
         .agg(*[F.first(c).alias(c.capitalize()) for c in ("open", "high", "low", "close", "volume")])
     )

@@ -4,7 +4,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Settings that hold at any scale.  The shuffle partition count is an upper bound: adaptive
 # execution merges small partitions and splits skewed join partitions at run time.
@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # of keys that a JSON object repeats, the last one counts
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 
@@ -27,13 +29,8 @@ def build_session(app_name: str = "marketframe", master: str | None = None, **co
     return builder.getOrCreate()
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Deal rows out over all cores if the input has fewer splits than that; else leave them alone.
-
-    For CPU-bound work on small inputs.  An input of many files never gets the extra shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+# the temporary folder of each local application without a shared one
+_local_folders: dict[str, str] = {}
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -45,6 +42,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="run-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        app = spark.sparkContext.applicationId
+        if app not in _local_folders:
+            _local_folders[app] = tempfile.mkdtemp(prefix="run-")
+        shared = _local_folders[app]
     return os.path.join(shared, f"{name}-{uuid.uuid4().hex}")

@@ -1,38 +1,69 @@
-"""The store of price bars: Parquet partitioned by timeframe."""
+"""The store of price bars: Parquet partitioned by timeframe and year."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from marketframe.operators.resample import stamp, to_storage
 from marketframe.schemas import TIMEFRAMES
+from marketframe.session import scratch_path
 
+KEYS = ("ticker", "timeframe", "date")
+PARTITIONS = ("timeframe", "year")
+MODES = ("upsert", "replace", "append")
 
-def write_bars(bars: DataFrame, path: str, mode: str = "replace", cluster: bool = False) -> dict[str, int]:
+
+def write_bars(bars: DataFrame, path: str, mode: str = "upsert", cluster: bool = True) -> dict[str, int]:
     """Write bars that carry a ``timeframe`` column; returns the rows saved per timeframe.
 
-    ``mode="replace"`` replaces the timeframes present in ``bars`` and leaves others alone, so a repeated
-    run changes nothing; ``mode="append"`` adds rows and duplicates them when repeated.  Nothing is
-    written for a timeframe without rows.  The counts are observed while writing: no second pass.
+    ``mode="upsert"`` keeps what is stored under other tickers, timeframes and dates and replaces what has the
+    same key, so a repeated run changes nothing.  Only the years that ``bars`` touches are rewritten: they are
+    merged in the shared scratch folder first and then swapped in, folder by folder.  ``mode="replace"`` replaces
+    the years that ``bars`` touches as a whole, whatever the ticker; ``mode="append"`` adds rows and duplicates
+    them when repeated.  Nothing is written for a timeframe without rows.  The counts are observed while writing.
 
-    Files are sorted by ticker and date, which lets readers skip row groups.  ``cluster=True`` also
-    range-partitions the rows first (a sampling pass and one more shuffle), so that a ticker sits in few
-    files; the date in the range key splits a ticker that is too large for one file.
+    Files are sorted by ticker and date, which lets readers skip row groups.  Rows are range-partitioned first
+    (a sampling pass and one more shuffle), so that a ticker sits in few files; the date in the range key
+    splits a ticker that is too large for one file.  ``cluster=False`` spares that for small or ordered input.
     """
-    if mode not in ("replace", "append"):
-        raise ValueError(f"unknown mode {mode!r}, expected 'replace' or 'append'")
+    if mode not in MODES:
+        raise ValueError(f"unknown mode {mode!r}, expected one of {MODES}")
+    spark = bars.sparkSession
+    rows = to_storage(stamp(bars)).withColumn("year", F.year("date"))
     seen = Observation()
     counts = [F.count_if(F.col("timeframe") == t).alias(t) for t in TIMEFRAMES]
-    rows = to_storage(stamp(bars))
-    order = ("timeframe", "ticker", "date")
-    if cluster:
-        rows = rows.repartitionByRange(*order)
-    # observed last: the sampling pass of a range partitioning must not count
-    rows = rows.sortWithinPartitions(*order).observe(seen, *counts)
-    writer = rows.write.partitionBy("timeframe")
-    if mode == "replace":
-        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    stored = _stored(spark, path) if mode == "upsert" else None
+    if stored is None:
+        writer = _laid_out(rows, cluster, lambda df: df.observe(seen, *counts)).write.partitionBy(*PARTITIONS)
+        if mode == "append":
+            writer.mode("append").parquet(path)
+        else:
+            writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
     else:
-        writer = writer.mode("append")
-    writer.parquet(path)
+        # written down first: the new rows are needed three times, and what is read must not be overwritten
+        fresh, merged = scratch_path(spark, "bars-new"), scratch_path(spark, "bars-merged")
+        rows.observe(seen, *counts).write.parquet(fresh)
+        new = spark.read.schema(rows.schema).parquet(fresh)
+        touched = F.broadcast(new.select(*PARTITIONS).distinct())  # timeframes by years: a few hundred rows
+        kept = stored.join(touched, list(PARTITIONS), "left_semi").join(new, list(KEYS), "left_anti")
+        _laid_out(kept.unionByName(new, allowMissingColumns=True), cluster).write.partitionBy(*PARTITIONS).parquet(merged)
+        if not new.isEmpty():
+            again = spark.read.parquet(merged)
+            again.sortWithinPartitions(*PARTITIONS, "ticker", "date").write.partitionBy(*PARTITIONS).mode("overwrite").option(
+                "partitionOverwriteMode", "dynamic"
+            ).parquet(path)
     found = seen.get
     return {t: found.get(t, 0) for t in TIMEFRAMES}
+
+
+def _stored(spark, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        return None
+
+
+def _laid_out(rows: DataFrame, cluster: bool, observed=lambda df: df) -> DataFrame:
+    order = (*PARTITIONS, "ticker", "date")
+    # observed last: the sampling pass of a range partitioning must not count
+    return observed((rows.repartitionByRange(*order) if cluster else rows).sortWithinPartitions(*order))

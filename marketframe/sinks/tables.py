@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from marketframe.functions import is_object
+
 
 def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     seen = Observation()
@@ -12,12 +14,12 @@ def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
 def write_raw_statements(parsed: DataFrame, path: str, mode: str = "append") -> int:
     """Load the parsed documents unchanged into the bronze table; returns how many were readable.
 
-    Unreadable documents keep their text and go to a partition of their own (``corrupt=true``), from where
+    Documents that are no JSON objects keep their text and go to a partition of their own (``corrupt=true``), from where
     they can be reported.  Sorting both kinds out while writing spares a second read and parse.
     """
-    corrupt = F.col("v").isNull()
+    corrupt = ~is_object(F.col("v"))
     rows = parsed.select(
-        "source_file", "v", F.when(corrupt, F.col("raw")).alias("raw"), corrupt.alias("corrupt")
+        "source_file", F.when(~corrupt, F.col("v")).alias("v"), F.when(corrupt, F.col("raw")).alias("raw"), corrupt.alias("corrupt")
     )
     seen = Observation()
     rows = rows.observe(seen, F.count_if(~F.col("corrupt")).alias("n"))

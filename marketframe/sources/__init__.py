@@ -2,7 +2,7 @@
 
 from marketframe.sources.articles import read_articles, read_collections
 from marketframe.sources.prices import read_bars, read_prices, read_universe
-from marketframe.sources.statements import read_raw_statements, read_records, read_statements
+from marketframe.sources.statements import read_raw_statements, read_records, read_statements, rejected_records
 
 __all__ = [
     "read_articles",
@@ -13,4 +13,5 @@ __all__ = [
     "read_records",
     "read_statements",
     "read_universe",
+    "rejected_records",
 ]

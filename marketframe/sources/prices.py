@@ -6,7 +6,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketframe.operators.resample import bar_values
+from marketframe.operators.resample import bar_values, lower_names, nan_to_null
 from marketframe.operators.series import SERIES_COLUMNS
 from marketframe.operators.universe import in_universe
 from marketframe.schemas import FALLBACK_TICKERS, MARKET_SUFFIX
@@ -36,11 +36,6 @@ def read_universe(
         return spark.createDataFrame([(t,) for t in fallback], "ticker string")
 
 
-def nan_to_null(bars: DataFrame) -> DataFrame:
-    """Missing quotes often arrive as NaN, which would turn every sum and maximum into NaN."""
-    return bars.withColumns({c: F.nanvl(c, F.lit(None).cast("double")) for c in bar_values(bars)})
-
-
 def read_prices(
     spark: SparkSession,
     path: str,
@@ -50,11 +45,12 @@ def read_prices(
 ) -> DataFrame:
     """Daily bars of the universe over the ``years`` before ``as_of`` (default today).
 
-    The date bound is a constant after folding, so it reaches the Parquet scan.
+    Columns may have stored or source names (``Date``, ``Adj Close``), dates may carry a time.  The date
+    bounds are whole days and constant after folding, so they reach the Parquet scan.
     """
     day = F.lit(as_of) if as_of else F.current_date()
-    bars = spark.read.parquet(path).filter(
-        (F.col("date") > F.add_months(day, -12 * years)) & (F.col("date") <= day)
+    bars = lower_names(spark.read.parquet(path)).filter(
+        (F.col("date") >= F.date_add(F.add_months(day, -12 * years), 1)) & (F.col("date") < F.date_add(day, 1))
     )
     bars = nan_to_null(bars.select("ticker", F.col("date").cast("date").alias("date"), *bar_values(bars)))
     return in_universe(bars, universe) if universe is not None else bars

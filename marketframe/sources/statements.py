@@ -8,15 +8,28 @@ from marketframe.operators.statements import parse_documents
 from marketframe.schemas import BRONZE, STATEMENTS
 
 
-def read_statements(spark: SparkSession, path: str) -> DataFrame:
-    """Every ``*.json`` file below ``path``, one document each: ``source_file, raw, v``.
+def read_statements(spark: SparkSession, path: str, recursive: bool = False, glob: str = "*.json") -> DataFrame:
+    """Every file in ``path`` that matches ``glob``, one document each: ``source_file, raw, v``.
 
-    ``v`` is null for files that are not JSON; ``split_corrupt`` separates them.  Small files are packed
-    into splits by Spark, and the text is kept for the report of bad files.  Spark skips files of zero bytes.
+    ``v`` is null for files that are not JSON; ``split_corrupt`` separates them.  Files of zero bytes, which
+    Spark's readers skip, are taken from the file listing with an empty ``raw``.  ``recursive`` looks into
+    sub-folders too.  ``source_file`` is the file's path below ``path``.  Small files are packed into splits by
+    Spark, and the text is kept for the report of bad files.
     """
-    files = spark.read.text(path, wholetext=True, pathGlobFilter="*.json", recursiveFileLookup=True)
-    documents = files.select(F.col("_metadata.file_name").alias("source_file"), F.col("value").alias("raw"))
-    return parse_documents(documents)
+    options = {"pathGlobFilter": glob, "recursiveFileLookup": recursive}
+    files = spark.read.text(path, wholetext=True, **options)
+    documents = files.select(F.col("_metadata.file_path").alias("_path"), F.col("value").alias("raw"))
+    # lengths only; the listing itself is on the driver anyway
+    listed = spark.read.format("binaryFile").options(**options).load(path)
+    names = spark.createDataFrame([(f,) for f in listed.inputFiles()], "_path string")
+    # one form of the address has one slash after the scheme, the other three
+    same = lambda column: F.regexp_replace(column, "^([A-Za-z0-9+.-]+):/+", "$1:/").alias("_same")
+    filled = listed.select(same(F.col("_metadata.file_path")))
+    empty = names.withColumn("_same", same(F.col("_path"))).join(filled, "_same", "left_anti")
+    empty = empty.select("_path", F.lit("").alias("raw"))
+    below = F.url_decode(F.replace(F.substring_index("_path", path.rstrip("/") + "/", -1), F.lit("+"), F.lit("%2B")))
+    everything = documents.unionByName(empty)
+    return parse_documents(everything.select(below.alias("source_file"), "raw"))
 
 
 def read_raw_statements(spark: SparkSession, path: str) -> DataFrame:
@@ -25,17 +38,34 @@ def read_raw_statements(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_records(
-    spark: SparkSession, path: str, schema: T.StructType = STATEMENTS, layout: str = "lines"
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType = STATEMENTS,
+    layout: str = "lines",
+    glob: str = "*.json",
 ) -> DataFrame:
     """Transformed records from JSON.
 
     ``layout="lines"`` reads one record per line, which Spark can split.  ``layout="array"`` reads files
-    that hold one JSON list each; a file whose top level is no list gives no records.
+    that hold one JSON list each; other files are listed by ``rejected_records``.  A file is one row: lists
+    beyond a gigabyte belong into lines.
     """
     if layout == "lines":
         return spark.read.schema(schema).json(path)
     if layout != "array":
         raise ValueError(f"unknown layout {layout!r}, expected 'lines' or 'array'")
-    files = spark.read.text(path, wholetext=True, pathGlobFilter="*.json")
-    is_list = F.schema_of_variant(F.try_parse_json("value")).startswith("ARRAY")
-    return files.filter(is_list).select(F.inline(F.from_json("value", T.ArrayType(schema))))
+    files = _record_files(spark, path, glob).filter(F.col("kind") == "list")
+    return files.select(F.inline(F.from_json("raw", T.ArrayType(schema))))
+
+
+def _record_files(spark: SparkSession, path: str, glob: str) -> DataFrame:
+    documents = read_statements(spark, path, glob=glob)
+    is_list = F.schema_of_variant("v").startswith("ARRAY")
+    kind = F.when(F.col("v").isNull(), "not JSON").when(is_list, "list").otherwise("no list")
+    return documents.withColumn("kind", kind)
+
+
+def rejected_records(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
+    """``source_file, reason`` of files that ``read_records(layout="array")`` takes no records from."""
+    files = _record_files(spark, path, glob).filter(F.col("kind") != "list")
+    return files.select("source_file", F.col("kind").alias("reason"))

@@ -1,5 +1,5 @@
 """Incremental runs."""
 
-from marketframe.streaming.backlog import stream_pending
+from marketframe.streaming.backlog import read_drained, retry_pending, stream_pending
 
-__all__ = ["stream_pending"]
+__all__ = ["read_drained", "retry_pending", "stream_pending"]

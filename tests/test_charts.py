@@ -1,11 +1,12 @@
 """Chart series and figures."""
 
+import re
 from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
-from marketframe.operators.resample import resample_all
+from marketframe.operators.resample import resample, resample_all
 from marketframe.operators.series import (
     chart_parts,
     chart_parts_of_prices,
@@ -15,11 +16,10 @@ from marketframe.operators.series import (
     has_volume,
     last_n,
     price_change,
-    salts_for,
     valid_close,
 )
 from marketframe.plans import chart_figures
-from marketframe.queries import tables
+from marketframe.queries import QUERIES, tables
 from marketframe.schemas import BARS
 from marketframe.session import scratch_path
 from marketframe.sinks import write_bars
@@ -65,7 +65,7 @@ def test_limit_comes_before_the_check_of_the_close(spark):
     assert sorted(r["close"] for r in valid_close(last_n(bars, 3)).collect()) == [3.0]
 
 
-@pytest.mark.parametrize("salts", [None, 1, 3, 32])
+@pytest.mark.parametrize("salts", [1, 3, 32])
 def test_last_n_is_exact_for_a_hot_ticker(spark, salts):
     hot = spark.range(0, 20_000, numPartitions=16).select(
         F.lit("HOT").alias("ticker"), F.date_add(F.lit(date(1970, 1, 1)), F.col("id").cast("int")).alias("date")
@@ -92,17 +92,52 @@ def test_plans(spark, sf_dir):
     path = scratch_path(spark, "plain")
     tables.priority_bars(spark, sf_dir).write.parquet(path)
     bars = spark.read.parquet(path)
-    text = static_plan(spark, last_n(bars))
+    text = static_plan(spark, last_n(bars, salts=1))
     assert text.count("WindowGroupLimit") == 2 and text.count("Exchange") == 1
-    text = static_plan(spark, last_n(bars, salts=8))
+    text = static_plan(spark, last_n(bars))
     assert text.count("WindowGroupLimit") == 4 and text.count("Exchange") == 2
-    # one for the newest days, two for the roll-up, none for the figures
+    # two for the newest days, two for the roll-up, none for the figures
     report = static_plan(spark, chart_report(*chart_parts_of_prices(bars)))
-    assert report.count("Exchange hashpartitioning") == 3 and "Python" not in report
-
-
-def test_salts_grow_with_the_input():
-    assert [salts_for(b) for b in (0, 10**9, 10**12, 10**14)] == [1, 1, 8, 746]
+    assert report.count("Exchange hashpartitioning") == 4 and "Python" not in report
+
+
+@pytest.mark.parametrize("name", ["last_365", "events_last_365", "bars_adjusted_weekly", "run_summary"])
+def test_plans_do_not_depend_on_the_size(spark, name):
+    shapes = []
+    spark.catalog.clearCache()  # a cached input would show in one of the plans
+    for folder in ("sf0.001", "sf0.1"):
+        text = static_plan(spark, QUERIES[name](spark, f"/root/testdata/{folder}"))
+        shapes.append(re.findall(r"Exchange \w+|\w*Aggregate|Window\w*|\w+Join", text))
+        assert "REPARTITION" not in text
+    assert [s for s in shapes[0] if "Join" not in s] == [s for s in shapes[1] if "Join" not in s]
+
+
+def test_equal_dates_are_told_apart_by_the_ties(spark):
+    day = date(2024, 1, 1)
+    rows = [("A", day, float(i), 1.0, 1.0, float(i), 1.0) for i in range(20)]
+    bars = spark.createDataFrame(rows, BARS).repartition(5)
+    assert [r["close"] for r in last_n(bars, 2, ties=("close",)).orderBy("close").collect()] == [18.0, 19.0]
+    weekly = resample(bars, "weekly", ties=("open",)).first()
+    assert (weekly["open"], weekly["close"]) == (0.0, 19.0)
+
+
+def test_points_without_a_close_do_not_count(spark):
+    nan = float("nan")
+    gapped = series(spark, [None, 7.0, 5.0, nan])
+    row = extremes(gapped).first()
+    assert (row["low_close"], row["low_date"], row["high_close"], row["high_label"]) == (5.0, date(2024, 1, 3), 7.0, "Tertinggi: Rp 7")
+    row = price_change(gapped).first()
+    assert (row["change"], row["direction"]) == (-2.0, "down")
+    for closes in ([None, None], [None, 5.0, nan]):
+        assert extremes(series(spark, closes)).isEmpty() and price_change(series(spark, closes)).isEmpty()
+    report = chart_report(series(spark, [nan, 5.0, None])).first()
+    assert (report["n_points"], report["low_label"], report["direction"]) == (1, None, None)
+
+
+def test_nan_volume_is_no_volume(spark):
+    nan = float("nan")
+    both = series(spark, [1.0], "A", nan).unionByName(series(spark, [1.0], "B", nan)).unionByName(series(spark, [1.0], "B", 2.0))
+    assert {r["ticker"]: r["has_volume"] for r in has_volume(both).collect()} == {"A": False, "B": True}
 
 
 def test_report_from_prices_equals_report_from_store(spark, sf_dir):

@@ -76,7 +76,7 @@ def test_first_truthy(spark, document, want):
     def get(key):
         return F.try_variant_get(F.parse_json("x"), f"$.{key}", "variant")
 
-    assert apply(spark, [document], to_text(first_truthy(get("a"), get("b")))) == [want]
+    assert apply(spark, [document], to_text(first_truthy(get("a"), get("a"), get("b")))) == [want]
 
 
 def test_to_number(spark):
@@ -112,15 +112,34 @@ def test_clean(spark):
     assert dict(zip(want, apply(spark, list(want), clean_text(F.col("x"))))) == want
 
 
-def chunks_in_python(text, limit):
-    """Sentence by sentence, as the operator is specified."""
-    done, current = [], ""
-    for sentence in text.split(". "):
-        if len(current) + len(sentence) >= limit:
-            done.append(current.strip())
-            current = ""
-        current += sentence + ". "
-    return [*done, current.strip()]
+def assert_chunks(text, chunks, limit):
+    """What chunking promises: the text's sentences in order, no chunk too long, none that could take one more."""
+    sentences = text.split(". ")
+    if len(sentences[0]) >= limit:
+        assert chunks[0] == ""
+        chunks = chunks[1:]
+    # each chunk is a run of sentences, and the runs follow each other
+    ends, at = [], 0
+    for chunk in chunks:
+        end = next((e for e in range(at + 1, len(sentences) + 1) if "".join(s + ". " for s in sentences[at:e]).strip() == chunk), None)
+        # blank sentences at the edge of a run leave no trace in the stripped chunk
+        while end is not None and end < len(sentences) and size(sentences[at : end + 1]) < limit and not (sentences[end] + ". ").strip(". "):
+            if "".join(s + ". " for s in sentences[at : end + 1]).strip() != chunk:
+                break
+            end += 1
+        assert end is not None, (text, chunk)
+        ends.append((at, end))
+        at = end
+    assert at == len(sentences)
+    for start, end in ends:
+        assert end - start == 1 or size(sentences[start:end]) < limit
+    for (start, end), (_, after) in zip(ends, ends[1:]):
+        assert size(sentences[start : end + 1]) >= limit and after > end
+
+
+def size(run):
+    """The length that counts against the limit: the sentences with their ends, but for the last end."""
+    return sum(len(s) + 2 for s in run) - 2
 
 
 @pytest.mark.parametrize(
@@ -135,7 +154,7 @@ def chunks_in_python(text, limit):
     ],
 )
 def test_chunks(spark, text, want):
-    assert chunks_in_python(text, 10) == want
+    assert_chunks(text, want, 10)
     assert apply(spark, [text], chunk_text(F.col("x"), 10)) == [want]
 
 
@@ -145,12 +164,16 @@ def test_chunks_of_random_texts(spark):
     texts = ["".join(rng.choices(alphabet, k=rng.randrange(0, 120))) for _ in range(400)]
     for limit in (5, 30, 1000):
         got = apply(spark, texts, chunk_text(F.col("x"), limit))
-        assert got == [chunks_in_python(t, limit) for t in texts]
+        for text, chunks in zip(texts, got):
+            assert_chunks(text, chunks, limit)
 
 
 def test_chunks_of_a_very_long_text(spark):
     text = "word " * 400_000 + ". " + "Short sentence. " * 20_000
-    assert apply(spark, [text], chunk_text(F.col("x"))) == [chunks_in_python(text, 1000)]
+    chunks = apply(spark, [text], chunk_text(F.col("x")))[0]
+    assert "".join(chunks).replace(" ", "").replace(".", "") == text.replace(" ", "").replace(".", "")
+    assert chunks[0] == "" and len(chunks[1]) > 1_000_000 and all(len(c) <= 1000 for c in chunks[2:])
+    assert all(len(c) + len("Short sentence") > 980 for c in chunks[2:-1])
 
 
 def test_rupiah(spark):

@@ -1,6 +1,7 @@
 """The article backlog: batch, model plug-in and incremental runs."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from marketframe.operators.news import (
     assemble_summaries,
@@ -14,7 +15,7 @@ from marketframe.plans import summarize_collection
 from marketframe.schemas import ARTICLES
 from marketframe.session import scratch_path
 from marketframe.sources import read_articles, read_collections
-from marketframe.streaming import stream_pending
+from marketframe.streaming import read_drained, stream_pending
 
 LONG = "First sentence is here. Second one follows. Third one is not in the lead. " + "Filler text goes on. " * 100
 
@@ -86,6 +87,68 @@ def test_all_chunks_failing_gives_empty_text_and_stays_pending(articles):
     assert 1 in [r["article_id"] for r in pending(after).collect()]
 
 
+def test_a_model_that_answers_short_loses_only_those_texts(spark, articles):
+    def load():
+        return lambda texts: ["ok"] * min(len(texts), 1) if "Second" not in texts[0] else []
+
+    chunks = explode_chunks(articles)
+    n = chunks.count()
+    got = [r["summary"] for r in summarize_chunks(chunks, load).collect()]
+    assert len(got) == n and got.count(None) == 1 and got.count("ok") == n - 1
+
+
+def test_calls_are_bounded_and_the_model_is_loaded_once_per_worker(spark, tmp_path):
+    seen = str(tmp_path)
+
+    def load():
+        import os
+        import uuid
+
+        open(os.path.join(seen, f"{os.getpid()}-{uuid.uuid4().hex}"), "w").close()
+
+        def summarize(texts):
+            assert len(texts) <= 8
+            return [f"{os.getpid()}" for _ in texts]
+
+        return summarize
+
+    many = spark.range(2000).selectExpr("id AS article_id", "0 AS pos", "concat('text ', id) AS chunk")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        workers = {r["summary"] for r in summarize_chunks(many, load, batch_size=8).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    loads = [p.name.split("-")[0] for p in tmp_path.iterdir()]
+    assert len(loads) == len(set(loads)) < 64 and workers <= set(loads)
+
+
+def test_collections_with_equal_ids_stay_apart(spark, articles):
+    def of(name, text):
+        return spark.createDataFrame([(1, text, None), (2, None, None)], ARTICLES).withColumn("collection", F.lit(name))
+
+    both = of("a", "Alpha one. " * 10).unionByName(of("b", "Beta two. " * 300))
+    found = [{(r["collection"], r["article_id"]): r["summary"] for r in summarize_pending(both, m).collect()} for m in (None, lead_model())]
+    assert found[0] == found[1] and len(found[0]) == 4
+    assert "Beta" not in found[0]["a", 1] and "Alpha" not in found[0]["b", 1]
+
+
+def test_an_update_with_a_repeated_key_sets_one_summary(spark, articles):
+    new = spark.createDataFrame([(1, "x", 2), (1, "y", 1), (2, None, 1), (2, "z", 0)], "article_id long, summary string, v int")
+    got = merge_summaries(articles, new)
+    assert got.count() == len(ROWS) and (by_id(got)[1], by_id(got)[2]) == ("y", "z")
+    latest = by_id(merge_summaries(articles, new, version="v"))
+    assert (latest[1], latest[2]) == ("x", None)
+
+
+def test_the_model_path_cleans_the_backlog_once(spark, articles):
+    path = scratch_path(spark, "articles")
+    articles.write.parquet(path)
+    text = summarize_pending(read_articles(spark, path), lead_model())._jdf.queryExecution().executedPlan().toString()
+    assert text.count("IQPlus") == 1 and text.count("MapInPandas") == 1
+
+
 def test_merge_replaces_only_matching_keys(spark, articles):
     new = spark.createDataFrame([(2, None), (1, "new"), (99, "nobody")], "article_id long, summary string")
     got = by_id(merge_summaries(articles, new))
@@ -122,11 +185,32 @@ def test_incremental_runs_take_up_new_files_only(spark, articles):
         assert query.exception() is None
 
     run()
-    first = by_id(read_articles(spark, out))
+    first = by_id(read_drained(spark, out))
     assert len(first) == len(ROWS)
     run()
-    assert by_id(read_articles(spark, out)) == first
+    assert by_id(read_drained(spark, out)) == first
     spark.createDataFrame([(7, LONG, None)], ARTICLES).write.mode("append").parquet(source)
     run()
-    assert by_id(read_articles(spark, out)) == {**first, 7: first[1]}
-    assert read_articles(spark, out).count() == len(ROWS) + 1
+    assert by_id(read_drained(spark, out)) == {**first, 7: first[1]}
+    assert read_drained(spark, out).count() == len(ROWS) + 1
+
+
+def test_later_runs_take_up_articles_that_failed(spark, articles):
+    source, out = (scratch_path(spark, n) for n in ("source", "out"))
+    articles.write.parquet(source)
+
+    def broken():
+        def summarize(texts):
+            raise RuntimeError("model error")
+
+        return summarize
+
+    def run(load, state):
+        stream_pending(spark, source, out, state, load).awaitTermination()
+        return by_id(read_drained(spark, out))
+
+    state = scratch_path(spark, "state")
+    assert run(broken, state)[1] == ""
+    assert run(lead_model(), state) == by_id(summarize_pending(articles))
+    # a fresh checkpoint folder reads all files again and leaves earlier runs in place
+    assert run(lead_model(), scratch_path(spark, "state")) == by_id(summarize_pending(articles))

@@ -1,7 +1,7 @@
 """Resampling, universe, wide frames and the bar store."""
 
 import os
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -144,7 +144,36 @@ def test_filter_on_ticker_reaches_the_scan(spark, bars):
     assert "PushedFilters: [IsNotNull(ticker), EqualTo(ticker,5-LOW)]" in text
 
 
-def test_store_is_idempotent_in_replace_mode(spark, bars):
+def test_store_keeps_other_tickers_and_older_bars(spark):
+    path = scratch_path(spark, "store")
+
+    def daily(ticker, days, value):
+        data = [(ticker, date(2024, 1, 1) + timedelta(days=d), value, value, value, value, value) for d in days]
+        return resample_all(bars_of(spark, data), ("daily",))
+
+    assert write_bars(daily("A", range(3), 1.0), path)["daily"] == 3
+    write_bars(daily("B", range(3), 2.0), path)
+    for _ in range(2):
+        assert write_bars(daily("A", range(2, 400), 5.0), path)["daily"] == 398
+    got = {(r["ticker"], r["date"]): r["close"] for r in spark.read.parquet(path).collect()}
+    assert spark.read.parquet(path).count() == len(got) == 403
+    assert [got["A", date(2024, 1, d)] for d in (1, 2, 3)] == [1.0, 1.0, 5.0] and got["B", date(2024, 1, 3)] == 2.0
+
+
+def test_one_ticker_sits_in_few_files(spark):
+    path = scratch_path(spark, "store")
+    days = spark.range(100 * 200).select(
+        F.concat(F.lit("T"), F.col("id") % 100).alias("ticker"),
+        F.date_add(F.lit(date(2024, 1, 1)), (F.col("id") / 100).cast("int")).alias("date"),
+        *[F.lit(1.0).alias(c) for c in ("open", "high", "low", "close", "volume")],
+    )
+    write_bars(resample_all(days.repartition(8), ("daily",)), path)
+    stored = spark.read.parquet(path)
+    files = stored.select("ticker", F.input_file_name().alias("f")).distinct().groupBy("ticker").agg(F.count("*").alias("n"))
+    assert files.agg(F.avg("n")).first()[0] <= 2 <= len(stored.inputFiles())
+
+
+def test_store_is_idempotent(spark, bars):
     path = scratch_path(spark, "store")
     everything = resample_all(bars)
     saved = write_bars(everything, path)
@@ -158,7 +187,7 @@ def test_store_is_idempotent_in_replace_mode(spark, bars):
     write_bars(everything, path, mode="append")
     assert spark.read.parquet(path).count() == 2 * n
     with pytest.raises(ValueError):
-        write_bars(everything, path, mode="upsert")
+        write_bars(everything, path, mode="drop")
 
 
 def test_clustered_store_has_the_same_rows(spark, bars):
@@ -252,5 +281,34 @@ def test_read_prices_bounds_dates_and_turns_nan_into_null(spark):
     prices = read_prices(spark, path, as_of=as_of)
     assert rows(prices.select("date", "open")) == [(date(2019, 7, 1), 2.0), (as_of, 3.0)]
     assert prices.filter("close is null").count() == 1
-    assert "GreaterThan(date,2019-06-30)" in static_plan(spark, prices)
+    assert "GreaterThanOrEqual(date,2019-07-01), LessThan(date,2024-07-01)" in static_plan(spark, prices)
     assert read_prices(spark, path).count() == 0 or date.today() <= date(2029, 6, 30)
+
+
+def test_read_prices_takes_whole_days_and_source_names(spark):
+    path = scratch_path(spark, "prices")
+    rows_ = [("A", datetime(2019, 6, 30, 16), 1.0), ("A", datetime(2019, 7, 1, 0), 2.0), ("A", datetime(2024, 6, 30, 16), 3.0), ("A", datetime(2024, 7, 1), 4.0)]
+    frame = spark.createDataFrame(rows_, "Ticker string, Date timestamp, `Adj Close` double").withColumn("Close", F.col("Adj Close"))
+    frame.write.parquet(path)
+    prices = read_prices(spark, path, as_of=date(2024, 6, 30))
+    assert prices.columns == ["ticker", "date", "close", "adj_close"]
+    assert [r["close"] for r in prices.orderBy("date").collect()] == [2.0, 3.0]
+    assert "GreaterThanOrEqual(Date," in static_plan(spark, prices)
+
+
+def test_flat_downloads_and_nan(spark):
+    nan = float("nan")
+    flat = spark.createDataFrame([(date(2024, 1, 1), 1.0, nan), (date(2024, 1, 2), nan, nan)], "Date date, Close double, High double")
+    want = [("A.JK", date(2024, 1, 1), None, 1.0)]
+    assert [tuple(r) for r in normalize_wide(flat, ticker="A.JK").collect()] == want
+    assert [tuple(r) for r in normalize_wide(flat.withColumn("Ticker", F.lit("A.JK"))).collect()] == want
+    with pytest.raises(ValueError, match="Ticker"):
+        normalize_wide(flat)
+    wide = flat.select("Date", F.col("Close").alias("High A.JK"), F.col("High").alias("Close A.JK"))
+    long = normalize_wide(wide)
+    assert long.count() == 1 and long.agg(F.max("high"), F.max("close")).first()[:] == (1.0, None)
+
+
+def test_scratch_leaves_the_session_alone(spark):
+    before = spark.conf.get("spark.checkpoint.dir")
+    assert scratch_path(spark, "x").startswith(before) and spark.conf.get("spark.checkpoint.dir") == before

@@ -17,7 +17,7 @@ from marketframe.plans import load_statements
 from marketframe.schemas import STATEMENTS
 from marketframe.session import scratch_path
 from marketframe.sinks import write_raw_statements, write_records_json, write_statements
-from marketframe.sources import read_raw_statements, read_records, read_statements
+from marketframe.sources import read_raw_statements, read_records, read_statements, rejected_records
 
 FILES = {
     "a.json": {"emiten": "PT Á", "laporan_keuangan": {"SalesAndRevenue": 0, "SalesAndRevenueMoreThan10Percent": "200", "ProfitLoss": 50, "Assets": 0}},
@@ -30,12 +30,21 @@ FILES = {
 }
 
 
+GOOD = ["a.json", "b.json", "c.json", "h.json", "i.json", "j.json"]
+BAD = ["blank.json", "e.json", "empty 0%.json", "g.json"]
+
+
 @pytest.fixture
 def folder(tmp_path):
     for name, document in FILES.items():
         (tmp_path / name).write_text(json.dumps(document, indent=1, ensure_ascii=False), encoding="utf-8")
     (tmp_path / "g.json").write_text('{"emiten": "broken')
-    (tmp_path / "empty.json").write_text("\n")
+    (tmp_path / "blank.json").write_text("\n")
+    (tmp_path / "empty 0%.json").write_text("")
+    (tmp_path / "i.json").write_text('{"emiten":"NaN","laporan_keuangan":{"Assets":5,"GrossProfit":NaN,"Equity":-Infinity}}')
+    (tmp_path / "j.json").write_text('{"emiten":"a","emiten":"twice","laporan_keuangan":{"Assets":1,"Assets":2}}')
+    (tmp_path / "below").mkdir()
+    (tmp_path / "below" / "a.json").write_text('{"laporan_keuangan":{}}')
     (tmp_path / "notes.txt").write_text('{"laporan_keuangan": {}}')
     return str(tmp_path)
 
@@ -46,10 +55,11 @@ def by_file(df):
 
 def test_files_to_statements(spark, folder):
     good, bad = split_corrupt(read_statements(spark, folder))
-    assert sorted(r["source_file"] for r in bad.select("source_file").collect()) == ["empty.json", "g.json"]
+    assert sorted(r["source_file"] for r in bad.select("source_file").collect()) == BAD
     got = by_file(transform_statements(good))
-    assert sorted(got) == ["a.json", "b.json", "c.json", "h.json"]
-    assert [got[f]["nama"] for f in sorted(got)] == ["PT Á", "Unknown", None, "7"]
+    assert sorted(got) == GOOD
+    assert [got[f]["nama"] for f in sorted(got)] == ["PT Á", "Unknown", None, "7", "NaN", "twice"]
+    assert (got["i.json"]["aset"], got["i.json"]["laba_kotor"], got["i.json"]["ekuitas"], got["j.json"]["aset"]) == (5.0, None, None, 2.0)
     assert (got["a.json"]["pendapatan"], got["a.json"]["margin_laba"]) == (200.0, 0.25)
     assert got["a.json"]["rasio_ekuitas_aset"] is None
     assert (got["b.json"]["laba_bersih"], got["b.json"]["rasio_ekuitas_aset"]) == (75.0, 0.25)
@@ -59,7 +69,9 @@ def test_files_to_statements(spark, folder):
 
 def test_has_statement(spark, folder):
     names = has_statement(read_statements(spark, folder)).select("source_file").collect()
-    assert sorted(r[0] for r in names) == ["a.json", "b.json", "c.json", "h.json"]
+    assert sorted(r[0] for r in names) == GOOD
+    below = read_statements(spark, folder, recursive=True).select("source_file").collect()
+    assert {"a.json", "below/a.json", "empty 0%.json"} <= {r[0] for r in below} and len(below) == len({r[0] for r in below})
 
 
 def test_single_precision_on_request(spark):
@@ -70,24 +82,29 @@ def test_single_precision_on_request(spark):
 
 def test_ranking_puts_unknown_margins_last(spark, folder):
     ranked = rank_by_margin(transform_statements(read_statements(spark, folder)))
-    assert [r["margin_laba"] for r in ranked.collect()] == [0.75, 0.25, None, None]
+    assert [r["margin_laba"] for r in ranked.collect()] == [0.75, 0.25, None, None, None, None]
 
 
 def test_bronze_keeps_documents_unchanged(spark, folder):
     path = scratch_path(spark, "bronze")
-    assert write_raw_statements(read_statements(spark, folder), path) == len(FILES)
+    objects = {name: d for name, d in FILES.items() if isinstance(d, dict)}
+    assert write_raw_statements(read_statements(spark, folder), path) == len(objects) + 2
     good, bad = split_corrupt(read_raw_statements(spark, path))
     back = {r["source_file"]: json.loads(r["j"]) for r in good.select("source_file", F.to_json("v").alias("j")).collect()}
-    assert back == FILES
-    assert sorted(r["raw"] for r in bad.collect()) == ["\n", '{"emiten": "broken']
+    assert {name: d for name, d in back.items() if name in FILES} == objects
+    assert sorted(r["source_file"] for r in bad.collect()) == BAD and {"", "\n"} <= {r["raw"] for r in bad.collect()}
 
 
-def test_job_loads_once_and_reports_bad_files(spark, folder):
+def test_job_adds_new_files_and_reports_bad_ones(spark, folder, tmp_path_factory):
     bronze, table, export = (scratch_path(spark, n) for n in ("bronze", "table", "export"))
-    for _ in range(2):
+    for want in (len(GOOD), 0):
         loaded, bad = load_statements(spark, folder, bronze, table, export)
-        assert loaded == 4 and spark.read.parquet(table).count() == 4
-        assert sorted(r["source_file"] for r in bad.collect()) == ["empty.json", "g.json"]
+        assert loaded == want and spark.read.parquet(table).count() == len(GOOD)
+        assert sorted(r["source_file"] for r in bad.collect()) == BAD
+    other = tmp_path_factory.mktemp("other")
+    (other / "new.json").write_text('{"laporan_keuangan":{"Assets":1}}')
+    assert load_statements(spark, str(other), bronze, table, export)[0] == 1
+    assert sorted(r[0] for r in spark.read.parquet(table).select("source_file").collect()) == [*GOOD, "new.json"]
     assert sorted(map(str, read_records(spark, export).collect())) == sorted(map(str, spark.read.parquet(table).collect()))
 
 
@@ -95,7 +112,7 @@ def test_export_writes_nulls_and_readable_text(spark, folder, tmp_path):
     path = scratch_path(spark, "export")
     write_records_json(transform_statements(read_statements(spark, folder)), path)
     lines = [r["value"] for r in spark.read.text(path).collect()]
-    assert len(lines) == 4 and any("PT Á" in line for line in lines)
+    assert len(lines) == len(GOOD) and any("PT Á" in line for line in lines)
     assert all(set(json.loads(line)) == set(STATEMENTS.names) for line in lines)
 
 
@@ -104,8 +121,11 @@ def test_record_files_must_hold_a_list(spark, tmp_path):
     (tmp_path / "list.json").write_text(json.dumps([record, {"nama": "y"}], indent=4))
     (tmp_path / "object.json").write_text(json.dumps(record))
     (tmp_path / "broken.json").write_text("[{")
+    (tmp_path / "empty.json").write_text("")
     got = read_records(spark, str(tmp_path), layout="array").select("nama", "aset")
     assert sorted(tuple(r) for r in got.collect()) == [("x", 1.5), ("y", None)]
+    rejected = {r["source_file"]: r["reason"] for r in rejected_records(spark, str(tmp_path)).collect()}
+    assert rejected == {"object.json": "no list", "broken.json": "not JSON", "empty.json": "not JSON"}
     with pytest.raises(ValueError):
         read_records(spark, str(tmp_path), layout="xml")
 
@@ -113,6 +133,6 @@ def test_record_files_must_hold_a_list(spark, tmp_path):
 def test_appending_statements_counts_rows(spark, folder):
     path = scratch_path(spark, "table")
     statements = transform_statements(read_statements(spark, folder))
-    assert [write_statements(statements, path) for _ in range(2)] == [4, 4]
-    assert spark.read.parquet(path).count() == 8
+    assert [write_statements(statements, path) for _ in range(2)] == [len(GOOD)] * 2
+    assert spark.read.parquet(path).count() == 2 * len(GOOD)
     assert write_statements(statements.limit(0), path) == 0
