@@ -1,0 +1,64 @@
+import itertools
+import random
+
+import pytest
+
+from marketframe.llm import packing
+
+SCHEMA = "doc_id long, text string, bucket string, slot string"
+
+
+def cost(lengths, counts, ends):
+    return sum(c * next(e for e in ends if e >= n) for n, c in zip(lengths, counts))
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_boundaries_are_optimal(seed):
+    rng = random.Random(seed)
+    lengths = rng.sample(range(1, 60), rng.randint(1, 9))
+    counts = [rng.randint(1, 30) for _ in lengths]
+    for buckets in (1, 2, 3, 12):
+        ends = packing.optimal_boundaries(lengths, counts, buckets)
+        below = [n for n in lengths if n != max(lengths)]
+        choices = itertools.chain.from_iterable(itertools.combinations(sorted(below), k) for k in range(min(buckets, len(lengths))))
+        best = min(cost(lengths, counts, [*c, max(lengths)]) for c in choices)
+        assert cost(lengths, counts, ends) == best and len(ends) == min(buckets, len(lengths))
+    assert packing.optimal_boundaries([], []) == []
+
+
+def pieces(spark, rows, **options):
+    return packing.pack(spark.createDataFrame([(*r, "x", "y") for r in rows], SCHEMA), **options).collect()
+
+
+def test_batches(spark):
+    rng = random.Random(1)
+    rows = [(i, " ".join(["w"] * rng.choice([1, 3, 8, 20, 55]))) for i in range(400)]
+    got = pieces(spark, rows, max_length=16, buckets=3, budget=64)
+    seen = {}
+    for r in got:
+        assert 0 < r.n_tokens <= r.bucket_length <= 16 and r.start == 16 * r.piece
+        seen.setdefault((r.bucket, r.batch), []).append(r.slot)
+    capacity = {r.bucket: max(1, 64 // r.bucket_length) for r in got}
+    last = {b: max(n for x, n in seen if x == b) for b in capacity}
+    for (bucket, batch), slots in seen.items():
+        assert sorted(slots) == list(range(len(slots)))
+        assert len(slots) == capacity[bucket] or batch == last[bucket]
+    assert sorted((r.doc_id, r.start, r.n_tokens) for r in got) == sorted(
+        (i, s, min(16, len(t.split()) - s)) for i, t in rows for s in range(0, len(t.split()), 16)
+    )
+
+
+def test_texts_come_back(spark):
+    rows = [(1, "  a b\n\nc\td  e\x0bf g "), (2, "x"), (3, "é ü ö ß"), (4, " ".join(map(str, range(5000))))]
+    got = pieces(spark, rows, max_length=3, with_text=True)
+    for i, text in rows:
+        assert "".join(r.text for r in sorted((r for r in got if r.doc_id == i), key=lambda r: r.piece)) == text
+    assert all(len(r.text.split(None)) >= 1 for r in got)
+
+
+def test_odd_rows(spark):
+    rows = [(None, "a b"), (None, "a b"), (1, None), (2, ""), (3, " \n")]
+    got = pieces(spark, rows)
+    assert sorted((r.n_words, r.piece, r.slot) for r in got if r.piece is not None) == [(2, 0, 0), (2, 0, 1)]
+    assert sorted(r.doc_id for r in got if r.piece is None) == [1, 2, 3]
+    assert pieces(spark, []) == [] and pieces(spark, [(1, None)])[0].batch is None
