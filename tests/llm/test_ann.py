@@ -43,7 +43,7 @@ def test_blocks_do_not_change_much(spark):
 
 
 def test_scores_order_and_ties(spark):
-    rows = [(0, [1, 0]), (7, [2, 0]), (3, [5, 0]), (9, [0, 1]), (4, [1, 1]), (11, [-1, 0]), (5, [3, 3])]
+    rows = [(0, [1, 0]), (7, [2, 0]), (3, [5, 0]), (9, [0, 1]), (4, [1, 1]), (11, [-1, 0]), (5, [2, 2])]
     got = found(ann.nearest(frame(spark, rows)))
     assert [g[2] for g in got] == [3, 7, 4, 5, 9]
     assert [g[3] for g in got] == pytest.approx([1, 1, math.sqrt(0.5), math.sqrt(0.5), 0])
