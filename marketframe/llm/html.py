@@ -47,11 +47,13 @@ CLOSES_P = frozenset(
     "menu nav ol pre section table ul".split()
 )
 BOILER_NAMES = re.compile(
-    r"(?<!\bhas)(?<!\bwith)(?<!\bno)(^|[\s_-])(ads?|advert\w*|banner|breadcrumbs?|comments?|consent|cookies?|copyright|disqus|footer|gdpr|header|login|masthead|menu|"
-    r"modal|nav\w*|newsletter|notice|pagination|popup|promo\w*|recommend\w*|related|respond|search|share|sharing|sidebar|"
-    r"signup|social|sponsor\w*|subscribe|subscription|tags|teaser|toolbar|tracking|trending|widget|replies|reply|discussion)($|[\s_-])",
+    r"(?<!\bhas)(?<!\bwith)(?<!\bno)(^|[\s_-])(ads?|adbox|adsense|adslot|advert\w*|alert|banner\w*|breadcrumbs?|comment\w*|consent|cookie\w*|"
+    r"copyright|disqus|footer\w*|form|gdpr|header|legal|login|masthead|menu\w*|modal|nav\w*|newsletter\w*|notice\w*|notification\w*|"
+    r"pagination|popup|promo\w*|recommend\w*|related|repl(y|ies)|respond|search|share|sharing|side-?bar\w*|signup|social\w*|sponsor\w*|"
+    r"subscribe|subscription|tags|teaser|toolbar|top-?bar|tracking|trending|widget\w*|discussion)($|[\s_-])",
     re.IGNORECASE,
 )
+CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 MAIN_NAMES = re.compile(r"(^|[\s_-])(article|body|content|entry|main|post|story|text)($|[\s_-])", re.IGNORECASE)
 ROLES = {"navigation": 1, "banner": 1, "contentinfo": 1, "complementary": 1, "search": 1, "form": 1, "dialog": 1, "alert": 1, "main": 2, "article": 2}
 
@@ -132,6 +134,7 @@ class Flattener:
         if tag in BOILER_TAGS or role == 1 or tag == "header" and not main or "hidden" in given:
             boiler = max(boiler, 1)
         if given and tag not in ("html", "body") and (names := f"{given.get('class') or ''} {given.get('id') or ''}".strip()):
+            names = CAMEL.sub("-", names)
             named = bool(MAIN_NAMES.search(names))
             if BOILER_NAMES.search(names) and not (named and (tag in ("article", "main") or "wrap" in names)):
                 boiler = 2

@@ -47,6 +47,8 @@ def test_a_tree_learns_a_threshold():
         ("<article><p>Hi</p></article><div class='comments'><article><p>me too, and a lot more to say</p></article></div>", "Hi"),
         ("<form><p>Your name and your address please</p><input value=x></form><article><p>Hi</p></article>", "Hi"),
         ("<div class='cookie-notice'>We use cookies to know all about you</div><article><p>Hi</p></article>", "Hi"),
+        ("<div class='sideBar'><p>" + "aside " * 40 + "</p></div><article><p>Hi</p></article><ol class=commentlist><li>I say no</ol>", "Hi"),
+        ("<div class='page has-sidebar'><article><p>Hi</p><p>there</p></article></div>", "Hi\nthere"),
         ("<article><p>1 < 2 and 3 > 2</p></article>", "1 < 2 and 3 > 2"),
         ("<article><p title='a>b'>c</p></article>", "c"),
         ("<article><header><h1>T</h1></header><p>p</p></article><header>site</header>", "T\np"),
