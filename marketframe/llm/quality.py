@@ -19,9 +19,12 @@ BUCKETS = 1 << 16
 #: At most so many trusted documents are used, chosen by the hash of their id.
 MAX_TRUSTED = 20_000
 #: Least mean log ratio, in nats per n-gram, of a document that is kept.
-THRESHOLD = -0.11
-#: Added to the raw count of a bucket, and in proportion to that of the target, so that rare n-grams say little.
-SMOOTHING = 40.0
+THRESHOLD = -0.1
+#: Added to the counts of every bucket, in shares of the mean raw count of a bucket: n-grams that are rare in the corpus,
+#: such as those of a group of copies that the trusted documents happen to miss, say little at any size.
+SMOOTHING = 2.0
+#: The least that is added, for corpora of a few thousand documents.
+LEAST_SMOOTHING = 100.0
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
@@ -107,8 +110,9 @@ def log_ratios(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, smoot
 
     def ratio(cell):
         # both smoothed by the same share of their size, so that the size of the target shifts no score
-        in_target = cell["t"] * (F.col("nr") / F.col("nt")) + smoothing
-        return F.when(F.col("nt") == 0, 0.0).otherwise(F.log(in_target) - F.log(cell["r"] + smoothing))
+        added = F.greatest(smoothing * F.col("nr") / buckets, F.lit(LEAST_SMOOTHING))
+        in_target = cell["t"] * (F.col("nr") / F.col("nt")) + added
+        return F.when(F.col("nt") == 0, 0.0).otherwise(F.log(in_target) - F.log(cell["r"] + added))
 
     return table.select(F.transform("cells", ratio).alias("ratios"))
 

@@ -66,16 +66,31 @@ def test_scores_against_brute_force(tables):
         if i == 10:
             target.update(ngrams(text))
     ratio = sum(raw.values()) / sum(target.values())
+    added = max(quality.SMOOTHING * sum(raw.values()) / quality.BUCKETS, quality.LEAST_SMOOTHING)
     for row, text in zip(quality.assess(docs, labels).orderBy("doc.doc_id").collect(), TEXTS, strict=True):
         grams = ngrams(text)
         if not grams:
             assert row.score is None and not row.kept
             continue
-        want = sum(math.log(target[g] * ratio + quality.SMOOTHING) - math.log(raw[g] + quality.SMOOTHING) for g in grams) / len(grams)
+        want = sum(math.log(target[g] * ratio + added) - math.log(raw[g] + added) for g in grams) / len(grams)
         assert row.score == pytest.approx(want, abs=1e-9)
         assert row.kept == (not row.base_failed and row.score >= quality.THRESHOLD)
 
 
+def test_copies_that_the_target_misses_do_not_count_against_a_document(spark):
+    """Ten copies of a good text, none of them labelled, among documents of the same words."""
+    import random
+
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(300)]
+    prose = lambda: " ".join(rng.choices(vocabulary, k=120))
+    copied = prose()
+    rows = [(i, prose()) for i in range(900)] + [(1000 + i, copied) for i in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(0, 900, 3)], "doc_id long, quality int, toxic int")
+    assert quality.assess(docs, labels).filter("doc.doc_id >= 1000 and kept").count() == 10
+
+
 def test_without_trusted_documents_scores_are_zero(tables):
     docs, labels = tables
     got = quality.assess(docs, labels.filter("false")).filter("n_words > 0")
