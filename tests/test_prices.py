@@ -167,10 +167,14 @@ def test_one_ticker_sits_in_few_files(spark):
         F.date_add(F.lit(date(2024, 1, 1)), (F.col("id") / 100).cast("int")).alias("date"),
         *[F.lit(1.0).alias(c) for c in ("open", "high", "low", "close", "volume")],
     )
-    write_bars(resample_all(days.repartition(8), ("daily",)), path)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else one file holds all
+    try:
+        write_bars(resample_all(days.repartition(8), ("daily",)), path)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     stored = spark.read.parquet(path)
     files = stored.select("ticker", F.input_file_name().alias("f")).distinct().groupBy("ticker").agg(F.count("*").alias("n"))
-    assert files.agg(F.avg("n")).first()[0] <= 2 <= len(stored.inputFiles())
+    assert files.agg(F.avg("n")).first()[0] <= 1.2 and len(stored.inputFiles()) >= 4
 
 
 def test_store_is_idempotent(spark, bars):
