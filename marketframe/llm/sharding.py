@@ -108,7 +108,24 @@ def _trim(cells: DataFrame, quota: int, shards: int) -> DataFrame:
     return split.filter("n > 0").groupBy("group", "size", "shard").agg(F.sum("n").alias("n"))
 
 
-def _place_members(linked: DataFrame, cells: DataFrame, slices: int) -> DataFrame:
+def _numbered(rows: DataFrame, slices: int) -> DataFrame:
+    """Adds ``members``, the size of the row's group, and ``nth``, its place in the order of the group's keys.
+
+    Counts go by group and slice, so a group of many copies is spread over its slices.
+    """
+    sliced = rows.withColumn("slice", slice_of(F.col("key"), slices))
+    group = Window.partitionBy("group")
+    before = group.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    parts = sliced.groupBy("group", "slice").agg(F.count("*").alias("n"))
+    parts = parts.select(
+        "group", "slice", F.sum("n").over(group).alias("members"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_before")
+    )
+    inside = Window.partitionBy("group", "slice").orderBy("key")
+    joined = sliced.join(parts, ["group", "slice"])
+    return joined.withColumn("nth", F.col("_before") + F.row_number().over(inside)).drop("_before")
+
+
+def _place_members(linked: DataFrame, cells: DataFrame) -> DataFrame:
     """Give the members of each group, in the order of their keys, the group's places."""
     upto = Window.partitionBy("group").orderBy("shard").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     spans = (
@@ -116,10 +133,10 @@ def _place_members(linked: DataFrame, cells: DataFrame, slices: int) -> DataFram
         .groupBy("group")
         .agg(F.array_sort(F.collect_list(F.struct("upto", "shard"))).alias("spans"))  # at most one per shard
     )
-    sliced = linked.withColumn("_slice", slice_of(F.col("key"), slices))
-    numbered = running_sum(sliced, ["group"], "_slice", ["key"], F.lit(1).cast("long"), "_nth").drop("_slice")
-    place = F.filter("spans", lambda s: s["upto"] >= F.col("_nth"))[0]["shard"]
-    return numbered.join(spans, "group").withColumn("shard", place).drop("spans", "_nth")
+    # to every slice of the group first: joining members by group alone would gather a large group
+    by_slice = linked.select("group", "slice").distinct().join(spans, "group")
+    place = F.filter("spans", lambda s: s["upto"] >= F.col("nth"))[0]["shard"]
+    return linked.join(by_slice, ["group", "slice"]).withColumn("shard", place).drop("spans")
 
 
 def _level(loose: DataFrame, loads: list[int], quota: int, slices: int) -> DataFrame:
@@ -150,14 +167,12 @@ def shard(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFr
     count, total = rows.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
     slices = slices_for(docs.sparkSession, count)
     quota = -(-total // shards)
-    # a group's members have one size; the size only has to get past the aggregation
-    groups = rows.groupBy("group").agg(F.count("*").alias("members")).filter("members > 1").select("group")
-    linked = stored(rows.join(groups, "group", "left_semi"), "shard-linked")
-    single = rows.join(groups, "group", "left_anti")
+    numbered = stored(_numbered(rows, slices), "shard-numbered")
+    linked, single = numbered.filter("members > 1"), numbered.filter("members = 1")
     start = linked.groupBy("group", "size", _home(F.col("key"), shards).alias("shard")).agg(F.count("*").alias("n"))
     cells = propagate(stored(start, "shard-cells"), quota, shards, rounds)
     cells = stored(_trim(cells, quota, shards), "shard-cells")
-    members = stored(_place_members(linked, cells, slices), "shard-members")
+    members = stored(_place_members(linked, cells), "shard-members")
     names = ["doc_id", "size", "text_crc32", "key"]
     loose = single.select(*names).unionByName(members.filter(F.col("shard") == NO_SHARD).select(*names))
     loads = _loads(members.filter(F.col("shard") != NO_SHARD), F.col("size"), shards)
