@@ -54,38 +54,50 @@ class Index:
     """Sorted projections of one block."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, projections: int = PROJECTIONS):
-        self.ids, self.vectors = ids, vectors
-        # scaled by the largest element first, so that squares neither overflow nor vanish
-        self.norms = _norms(vectors)
-        directions = np.random.default_rng(7).standard_normal((vectors.shape[1], projections))
-        self.directions = directions
-        values = (vectors / self.norms[:, None]) @ directions
-        self.order = np.argsort(values, axis=0, kind="stable").T.astype(np.int32).copy()
-        self.sorted = np.take_along_axis(values.T, self.order, axis=1)
-
-    def search(self, own_id: int, query: np.ndarray, k: int, collisions: int = COLLISIONS) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and cosines of the nearest found, best first."""
+        self.ids, self.vectors, self.norms = ids, vectors, _norms(vectors)
+        self.directions = np.random.default_rng(7).standard_normal((vectors.shape[1], projections))
+        values = ((vectors / self.norms[:, None]) @ self.directions).T
+        self.order = np.argsort(values, axis=1, kind="stable")
+        self.sorted = np.take_along_axis(values, self.order, axis=1)
+
+    def windows(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First and last position of each query's window, by radius and direction."""
+        at = (queries / _norms(queries)[:, None]) @ self.directions
+        width = HALF_WIDTH * np.array(RADII)
+        low = np.empty((len(queries), len(RADII), len(self.sorted)), np.int32)
+        high = np.empty_like(low)
+        for j, values in enumerate(self.sorted):
+            low[:, :, j] = np.searchsorted(values, at[:, j, None] - width, "left")
+            high[:, :, j] = np.searchsorted(values, at[:, j, None] + width, "right")
+        return low, high
+
+    def search(self, own_ids: np.ndarray, queries: np.ndarray, k: int, collisions: int = COLLISIONS):
+        """For each query the ids and cosines of the nearest found, best first."""
+        low, high = self.windows(queries)
+        for i, own_id in enumerate(own_ids):
+            yield self._search(own_id, queries[i], low[i], high[i], k, collisions)
+
+    def _search(self, own_id: int, query: np.ndarray, low: np.ndarray, high: np.ndarray, k: int, collisions: int):
         size, norm = len(self.ids), _norms(query[None, :])[0]
-        at = (query / norm) @ self.directions
-        counts = np.zeros(size, np.uint8)
+        counts = np.zeros(size, np.int64)
         scores = np.full(size, -np.inf)
         own = self.ids == own_id
         done = own.copy()
-        low = high = None
-        for radius in (*RADII, None):
+        for step, radius in enumerate((*RADII, None)):
             if radius is None:
                 fresh = np.flatnonzero(~done)
             else:
-                width = HALF_WIDTH * radius
-                left = [np.searchsorted(s, a - width, "left") for s, a in zip(self.sorted, at)]
-                right = [np.searchsorted(s, a + width, "right") for s, a in zip(self.sorted, at)]
-                for j, order in enumerate(self.order):
-                    if low is None:
-                        counts[order[left[j] : right[j]]] += 1
-                    else:
-                        counts[order[left[j] : low[j]]] += 1
-                        counts[order[high[j] : right[j]]] += 1
-                low, high = left, right
+                # the ends that this step adds to each window; the first step adds it as a whole
+                added = [
+                    part
+                    for j, order in enumerate(self.order)
+                    for part in (
+                        (order[low[0, j] : high[0, j]],)
+                        if not step
+                        else (order[low[step, j] : low[step - 1, j]], order[high[step - 1, j] : high[step, j]])
+                    )
+                ]
+                counts += np.bincount(np.concatenate(added), minlength=size)
                 fresh = np.flatnonzero((counts >= collisions) & ~done)
             if len(fresh):
                 # row by row sums: equal vectors get equal scores wherever they stand
@@ -123,10 +135,9 @@ def nearest(rows: DataFrame, k: int = 5, every: int = EVERY, block: int = BLOCK,
     def search(candidates: pa.Table, queries: pa.Table) -> pa.Table:
         found = []
         if candidates.num_rows and queries.num_rows:
-            index = Index(*_vectors(candidates))
-            for own_id, vector in zip(*_vectors(queries)):
-                ids, scores = index.search(own_id, vector, k)
-                found.append((np.full(len(ids), own_id), ids, scores))
+            own_ids, vectors = _vectors(queries)
+            nearest_found = Index(*_vectors(candidates)).search(own_ids, vectors, k)
+            found = [(np.full(len(ids), own), ids, scores) for own, (ids, scores) in zip(own_ids, nearest_found)]
         columns = zip(*found) if found else ([np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)])
         return pa.table(dict(zip(("query_id", "vec_id", "score"), map(np.concatenate, columns))))
 
