@@ -178,6 +178,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFr
     loads = _loads(members.filter(F.col("shard") != NO_SHARD), F.col("size"), shards)
     settled = members.filter(F.col("shard") != NO_SHARD).select(*names, "shard")
     placed = settled.unionByName(_level(loose, loads, quota, slices).select(*names, "shard"))
-    sliced = placed.withColumn("_slice", slice_of(F.col("key"), slices))
+    # levelling gives a shard neighbouring keys, which are spread again by reading the keys backwards
+    sliced = placed.withColumn("key", F.reverse("key")).withColumn("_slice", slice_of(F.col("key"), slices))
     numbered = running_sum(sliced, ["shard"], "_slice", ["key", "size", "text_crc32"], F.lit(1).cast("long"), "_nth")
     return numbered.select("doc_id", "size", "text_crc32", F.col("shard").cast("int"), (F.col("_nth") - 1).alias("slot"))
