@@ -95,11 +95,12 @@ def summarize_chunks(chunks: DataFrame, load: Callable[[], Summarizer], batch_si
                 return [one(text) for text in texts]
 
         for batch in batches:
-            given = [i for i, chunk in enumerate(batch["chunk"]) if isinstance(chunk, str)]
+            chunks_here = batch["chunk"].tolist()
+            given = [i for i, chunk in enumerate(chunks_here) if isinstance(chunk, str)]
             summaries = [None] * len(batch)
             for start in range(0, len(given), batch_size):
                 part = given[start : start + batch_size]
-                for i, summary in zip(part, many([batch["chunk"].iloc[i] for i in part])):
+                for i, summary in zip(part, many([chunks_here[i] for i in part])):
                     summaries[i] = summary
             yield batch[others].assign(summary=pd.Series(summaries, index=batch.index, dtype=object))
 
