@@ -9,8 +9,9 @@ takes a fraction of a second on the driver, and tasks get the finished tree.  A
 row, so there is no shuffle.
 
 Defined results: a null or empty page, and one without main text, has an empty text; unclosed tags end with their
-parent; scripts, styles, comments and form fields are never text; equal rows give equal rows; an empty table gives an
-empty result; other columns are not looked at.
+parent; scripts, styles, templates, comments, form fields, frames, drawings (svg, canvas) and the fallbacks of noscript, audio
+and video are never text; formulas and the fallback of an object are; equal rows give equal rows; an empty table gives
+an empty result; other columns are not looked at.
 """
 
 import re
@@ -24,12 +25,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import arrow_udf
 
-SKIPPED = frozenset("script style noscript template svg math iframe object select option textarea button head title canvas audio video".split())
-INLINE = frozenset(
-    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike "
-    "strong sub sup time tt u var wbr input".split()
+#: ``annotation`` holds the source of a formula that is there already.
+SKIPPED = frozenset(
+    "script style noscript template svg iframe select option textarea button head title canvas audio video annotation annotation-xml".split()
 )
-VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+#: Formulas are inline text with a space before each element, so that the parts of a fraction are no number.
+MATH = frozenset(
+    "math semantics maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms "
+    "mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover".split()
+)
+INLINE = MATH | frozenset(
+    "a abbr acronym annotation annotation-xml b bdi bdo big br cite code data del dfn em font i img ins kbd label mark object param q s "
+    "samp small span strike strong sub sup time tt u var wbr input".split()
+)
+VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BOILER_TAGS = frozenset("nav footer aside form menu dialog".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: A tag that opens ends these, if they are open and nothing of the second list lies between.
@@ -122,7 +131,7 @@ class Flattener:
                 self._end_implied(*IMPLIED_END["p"])
         if tag in IMPLIED_END:
             self._end_implied(*IMPLIED_END[tag])
-        if tag == "br":
+        if tag == "br" or tag in MATH:
             self.text.append(" ")
         if tag in VOID:
             return

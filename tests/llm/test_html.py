@@ -72,3 +72,15 @@ def test_rows(spark):
     got = sorted(html.extract(pages).collect(), key=str)
     assert [tuple(r) for r in got] == [(1, "u", "hi", 2), (1, "u", "hi", 2), (None, None, "", 0)]
     assert html.extract(pages.limit(0)).collect() == []
+
+
+def test_formulas_and_fallbacks_of_objects_are_text():
+    long = "the committee of the old harbour met on a grey morning to hear what its members had found in the archive"
+    page = (
+        f"<body><article><p>{long} <math><semantics><mrow><mi>v</mi><mo>=</mo><mfrac><mn>7</mn><mn>4</mn></mfrac></mrow>"
+        f"<annotation encoding='x'>v=\\frac74</annotation></semantics></math>, as {long}.</p>"
+        f"<p>{long} <object data='a.pdf'><param name='n' value='v'>tables of the harbour</object> {long}.</p></article></body>"
+    )
+    blocks = [b.text for b in html.Flattener().read(page)]
+    assert blocks == [f"{long} v = 7 4, as {long}.", f"{long} tables of the harbour {long}."]
+    assert text(page) == "\n".join(blocks)
