@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketframe.llm import ann, chat, html, langid, mixing, packing, quality, sharding, simhash, warc
+from marketframe.llm import ann, audit, centroids, chat, html, langid, minhash, mixing, packing, quality, sharding, simhash, warc
 from marketframe.llm.common import stored
 from marketframe.session import scratch_path
 
@@ -68,12 +68,28 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labels.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op11_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.label(_table(spark, sf_dir, "documents"))
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.with_inertia(*centroids.cluster(_table(spark, sf_dir, "embeddings")))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_html, op2_quality, op3_mixing, op4_neighbours, op5_packing, op6_chat, op7_sharding, op8_language, op9_warc, op10_simhash
+        op1_html, op2_quality, op3_mixing, op4_neighbours, op5_packing, op6_chat, op7_sharding, op8_language, op9_warc, op10_simhash,
+        op11_audit, op12_minhash, op13_centroids,
     )
 }
 
 #: Operators that SQL cannot state (trained models, hashes it lacks, iteration) are tested against brute force.
-ORACLES = {"op3_mixing": mixing.ORACLE, "op5_packing": packing.ORACLE, "op6_chat": chat.ORACLE, "op9_warc": warc.ORACLE}
+ORACLES = {
+    "op3_mixing": mixing.ORACLE, "op5_packing": packing.ORACLE, "op6_chat": chat.ORACLE, "op9_warc": warc.ORACLE,
+    "op11_audit": audit.ORACLE, "op13_centroids": centroids.ORACLE,
+}

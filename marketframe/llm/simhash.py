@@ -1,6 +1,6 @@
 """SimHash near-duplicates: all fingerprint pairs within a Hamming radius, found by vantage-point trees.
 
-A tree is grown on the driver over a bounded sample of fingerprints.  A node holds a vantage point and a radius; a
+A tree is grown on the driver over a bounded sample of fingerprints, one in 125.  A node holds a vantage point and a radius; a
 fingerprint goes inside if it is no farther than the radius, else outside.  By the triangle bound a partner of an
 inside fingerprint is at most ``reach`` farther away, so outside fingerprints of that thin shell are copied inside as
 well, and every other pair across the border is pruned.  Each leaf is one shard; shards grow the tree further by
@@ -26,15 +26,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import arrow_udf
 from pyspark.sql.types import LongType
 
+from marketframe.llm import links
 from marketframe.llm.common import stored
 
 REACH = 2
 SHINGLE = 3
 SEED = 42
-#: Fingerprints from which the driver grows the tree, at most.
-SAMPLE = 100_000
 #: Distinct fingerprints of a shard, about.
 SHARD = 4_000
+#: Sampled fingerprints per shard, from which the driver grows the tree: 1 in 125 of all.
+POINTS = 32
+#: Fingerprints that come to the driver, at most; shards of larger tables are larger.
+SAMPLE = 100_000
 #: Fingerprints compared directly, at most, unless no vantage point tells them apart.
 BLOCK = 1_024
 #: Shingles hashed and counted at a time, so that memory stays bounded however long a text is.
@@ -153,11 +156,10 @@ def linked(points: np.ndarray, reach: int = REACH) -> tuple[np.ndarray, np.ndarr
 
 def _shards(distinct: DataFrame, shard: int, sample: int, reach: int) -> DataFrame:
     """``shard, fp``: each distinct fingerprint in all leaves where it may meet a partner."""
-    total = distinct.count()
-    share = min(1.0, sample / max(total, 1))
+    share = min(POINTS / shard, sample / max(distinct.count(), 1))
     chosen = distinct.filter(F.pmod(F.xxhash64("fp"), F.lit(1 << 30)) < F.lit(share * (1 << 30))).limit(2 * sample)
     points = np.sort(np.array([r.fp for r in chosen.collect()], np.int64)).view(np.uint64)  # at most 2 * sample longs
-    nodes = grow(np.random.default_rng(0).permutation(points), max(16, int(shard * share)), reach) if total > shard else []
+    nodes = grow(np.random.default_rng(0).permutation(points), POINTS, reach)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -182,32 +184,7 @@ def components(prints: DataFrame, reach: int = REACH, shard: int = SHARD, sample
 
     shards = _shards(distinct, shard, sample, reach)
     stars = shards.groupBy("shard").applyInArrow(group, "fp long, root long")
-    return _merge(stored(stars.distinct(), "simhash-stars"))
-
-
-def _merge(links: DataFrame) -> DataFrame:
-    """One root per fingerprint, from links that share members.
-
-    Each round every node takes the smallest root of its neighbours' roots, and roots are then followed one step
-    further (pointer jumping), so long chains halve.  Rounds end when no label changes.
-    """
-    sides = links.filter("fp <> root")
-    edges = sides.union(sides.select(F.col("root"), F.col("fp"))).toDF("a", "b").distinct()
-    edges = stored(edges, "simhash-edges")
-    labels = stored(edges.groupBy("a").agg(F.least("a", F.min("b")).alias("root")).withColumnRenamed("a", "fp"), "simhash-labels")
-    while True:
-        seen = edges.join(labels, edges.b == labels.fp).select(F.col("a").alias("fp"), "root")
-        least = seen.union(labels).groupBy("fp").agg(F.min("root").alias("root"))
-        up = labels.select(F.col("fp").alias("root"), F.col("root").alias("above"))
-        step = least.join(up, "root", "left").select("fp", F.least("root", "above").alias("root"))
-        # a root that learns of a smaller one passes it on to all that point to it
-        old = labels.select("fp", F.col("root").alias("was"))
-        told = old.join(step, "fp").groupBy("was").agg(F.min("root").alias("new"))
-        moved = old.join(step, "fp").join(told, "was").select("fp", "was", F.least("root", "new").alias("root"))
-        rounds = stored(moved, "simhash-labels")
-        labels = rounds.select("fp", "root")
-        if rounds.filter("root <> was").isEmpty():
-            return labels
+    return links.components(stars).toDF("fp", "root")
 
 
 def hex_digits(fp: Column) -> Column:

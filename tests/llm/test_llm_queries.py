@@ -32,6 +32,17 @@ CONTRACT = {
     ),
     "op8_language": ("documents", {"doc_id": "bigint", "held_out": "boolean", "lang_pred": "string", "score": "double"}),
     "op9_warc": ("pages", {"page_id": "bigint", "payload_bytes": "bigint", "payload_digest": "string", "record_type": "string", "refers_to": "bigint"}),
+    "op11_audit": (
+        None,
+        {"part": "string", "filter_order": "string", "step": "int"}
+        | dict.fromkeys(("kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"), "bigint"),
+    ),
+    "op12_minhash": ("documents", {"doc_id": "bigint", "n_shingles": "bigint", "component_id": "bigint", "kept": "boolean"}),
+    "op13_centroids": (
+        "embeddings",
+        {"vec_id": "bigint", "cluster": "int", "centroid_sha256": "string"}
+        | dict.fromkeys(("distance", "cluster_inertia", "inertia"), "bigint"),
+    ),
     "op10_simhash": ("documents", {"doc_id": "bigint", "fingerprint": "string", "component_id": "bigint"}),
 }
 
