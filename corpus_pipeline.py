@@ -6,7 +6,7 @@ the packed pieces with their texts.  A document that mixing takes several times
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketframe.llm import langid, mixing, neardup, packing, quality
+from marketframe.llm import langid, mixing, packing, quality, simhash
 from marketframe.llm.common import stored
 
 
@@ -21,8 +21,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, of a similarity of 0.8 or more in 5-word shingles."""
-    return neardup.drop_near_copies(docs)
+    """One document of each group whose fingerprints of 3-word shingles are linked by 2 or fewer differing bits."""
+    return simhash.drop_near_duplicates(docs)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
