@@ -87,29 +87,43 @@ TOKEN = re.compile(
     |<[!?][^>]*+>""",
     re.DOTALL | re.VERBOSE,
 )
-ATTRIBUTE = re.compile(r"""(?:^|[\s"'/])(class|id|role|hidden|data-mark)(?![\w:-])(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.IGNORECASE)
+#: An attribute, read in order, so that nothing inside a value counts as a name.
+ATTRIBUTE = re.compile(r"""([^\s"'>/=]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++)))?""")
 RAW = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.IGNORECASE) for tag in ("script", "style", "textarea", "title", "iframe", "noscript")}
 
 
+def attributes_of(written: str) -> dict[str, str]:
+    """Attributes by lower-cased name; of a repeated name the first counts, one without a value is empty."""
+    given: dict[str, str] = {}
+    for name, double, single, bare in ATTRIBUTE.findall(written):
+        given.setdefault(name.lower(), double or single or bare)
+    return given
+
+
 class Flattener:
-    """Collects the blocks of a page.
+    """Collects the blocks of a page, in time proportional to its length.
 
     An open tag is ``(name, boiler, main, skipped)``: whether it, or a tag around it, is navigation and the like, main
-    text, or not text at all.  Tags of an article start afresh: a header inside an article is part of it.
+    text, or not text at all.  Tags of an article start afresh: a header inside an article is part of it.  ``places``
+    has the positions of each name among the open tags, so that no tag is looked for by walking through them.
     """
 
     def __init__(self):
         self.open, self.blocks, self.text, self.links, self.mark = [("", 0, 0, 0)], [], [], 0, None
-        self.anchors = 0
+        self.places: dict[str, list[int]] = {}
+        self.block_places = [0]
+        self.headings = 0
 
     def read(self, html: str) -> list[Block]:
-        at = 0
-        while token := TOKEN.search(html, at):
+        at, last = 0, html.rfind(">") + 1  # behind the last ``>`` there is no tag
+        while token := TOKEN.search(html, at, last):
             if token.start() > at:
                 self.data(html[at : token.start()])
             at = token.end()
             closing, tag, attributes = token.group(1, 2, 3) if token[2] else token.group(4, 5, 6)
             if not tag:
+                if token[0].startswith("<!--") and not token[0].endswith("-->"):
+                    at = len(html)  # a comment that never ends
                 continue
             tag = tag.lower()
             if closing:
@@ -136,63 +150,66 @@ class Flattener:
         if tag in VOID:
             return
         _, boiler, main, skipped = self.open[-1]
-        given = {m[0].lower(): m[1] or m[2] or m[3] for m in ATTRIBUTE.findall(attributes)} if attributes else {}
+        given = attributes_of(attributes) if attributes else {}
         role = ROLES.get(given.get("role"), 0)
         if tag in ("article", "main") or role == 2:
             boiler, main = boiler if tag == "article" and boiler == 2 else 0, 1
         if tag in BOILER_TAGS or role == 1 or tag == "header" and not main or "hidden" in given:
             boiler = max(boiler, 1)
-        if given and tag not in ("html", "body") and (names := f"{given.get('class') or ''} {given.get('id') or ''}".strip()):
+        if given and tag not in ("html", "body") and (names := f"{given.get('class', '')} {given.get('id', '')}".strip()):
             names = CAMEL.sub("-", names)
             named = bool(MAIN_NAMES.search(names))
             if BOILER_NAMES.search(names) and not (named and (tag in ("article", "main") or "wrap" in names)):
                 boiler = 2
             elif named and tag not in INLINE:
                 main = 1
-        self.anchors += tag == "a"
+        self.places.setdefault(tag, []).append(len(self.open))
+        if tag not in INLINE:
+            self.block_places.append(len(self.open))
+            self.headings += tag in HEADINGS
         self.open.append((tag, boiler, main, int(skipped or tag in SKIPPED)))
         if "data-mark" in given:
             self.mark = given["data-mark"]
 
+    def _last(self, tag) -> int:
+        """The innermost open tag of a name; 0 if there is none."""
+        places = self.places.get(tag)
+        return places[-1] if places else 0
+
     def end(self, tag):
         inline = tag in INLINE
         if not inline:
             self.flush()
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i][0] == tag:
-                self._cut(i)
-                break
-            if inline and self.open[i][0] not in INLINE:
-                break  # an inline tag doesn't end a block
-
-    def _cut(self, i):
-        if self.anchors:
-            self.anchors -= sum(t[0] == "a" for t in self.open[i:])
-        del self.open[i:]
+        # an inline tag doesn't end a block
+        if (place := self._last(tag)) and not (inline and place < self.block_places[-1]):
+            self._cut(place)
+
+    def _cut(self, place):
+        while len(self.open) > place:
+            tag = self.open.pop()[0]
+            self.places[tag].pop()
+            if tag not in INLINE:
+                self.block_places.pop()
+                self.headings -= tag in HEADINGS
 
     def _end_implied(self, ended, borders):
-        for i in range(len(self.open) - 1, 0, -1):
-            name = self.open[i][0]
-            if name in ended:
-                self._cut(i)
-                return
-            if name in borders:
-                return
+        place = max(map(self._last, ended))
+        if place and place > max(map(self._last, borders)):
+            self._cut(place)
 
     def data(self, data):
         if not self.open[-1][3]:
             data = unescape(data) if "&" in data else data
             self.text.append(data)
-            if self.anchors:
+            if self.places.get("a"):
                 self.links += len(data.split())
 
     def flush(self):
         text = " ".join("".join(self.text).split()) if self.text else ""
         if text:
-            names = {t[0] for t in self.open}
             _, boiler, main, _ = self.open[-1]
             words = text.count(" ") + 1
-            heading, listed = int(bool(names & HEADINGS)), int("li" in names)
+            heading, listed = int(self.headings > 0), int(bool(self.places.get("li")))
             self.blocks.append(Block(text, words, min(self.links, words), boiler, main, heading, listed, self.mark))
         self.text, self.links, self.mark = [], 0, None
 

@@ -84,3 +84,57 @@ def test_formulas_and_fallbacks_of_objects_are_text():
     blocks = [b.text for b in html.Flattener().read(page)]
     assert blocks == [f"{long} v = 7 4, as {long}.", f"{long} tables of the harbour {long}."]
     assert text(page) == "\n".join(blocks)
+
+
+@pytest.mark.parametrize(
+    ("written", "want"),
+    [
+        (" style='overflow: hidden' class=x", {"style": "overflow: hidden", "class": "x"}),
+        (' title="my hidden gem" HIDDEN', {"title": "my hidden gem", "hidden": ""}),
+        (" data-x=\"a 'class=ad' b\" id = 'main' /", {"data-x": "a 'class=ad' b", "id": "main"}),
+        (" class=one class=two checked=", {"class": "one", "checked": ""}),
+        (" 'stray' \"role='ad'", {"stray": "", "role": "ad"}),
+        ("", {}),
+    ],
+)
+def test_attributes(written, want):
+    assert html.attributes_of(written) == want
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div style='overflow: hidden'>{}</div>",
+        "<article style=\"overflow: hidden\">{}</article>",
+        "<article data-state='class=ad hidden'>{}</article>",
+        "<main aria-hidden='false' title='hidden'>{}</main>",
+    ],
+)
+def test_values_of_attributes_hide_nothing(page):
+    body = [" ".join([w] * 40) for w in ("alpha", "beta")]
+    assert text(page.format("".join(f"<p title='my hidden gem'>{p}</p>" for p in body))).split("\n") == body
+    assert text(page.format(f"<p>{body[0]}</p><p hidden>{body[1]}</p>")) == body[0]
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<span>x " * 100_000 + "</i>" * 100_000,
+        "<i><div>" + "<span>x " * 100_000 + "</i>" * 100_000,
+        "<div>x " * 100_000,
+        "<a " * 100_000,
+        "<li>x <b>" * 50_000 + "</ul>" * 50_000,
+        "<p>x<!-- " * 50_000,
+        "<table><tr><td>" * 50_000,
+    ],
+)
+def test_reading_is_linear(page):
+    import time
+
+    start = time.process_time()
+    html.blocks_of(page)
+    assert time.process_time() - start < 2
+
+
+def test_comments_that_never_end():
+    assert text("<article><p>Hi</p><!-- <p>no</p> and on") == "Hi"
