@@ -120,31 +120,59 @@ def resample_all(bars: DataFrame, timeframes: tuple[str, ...] = TIMEFRAMES) -> D
 
 def _week_month_pieces(bars: DataFrame) -> DataFrame:
     week, month = bar_start(F.col("date"), "weekly"), bar_start(F.col("date"), "monthly")
-    return (
-        bars.groupBy("ticker", week.alias("week"), month.alias("month"))
-        .agg(*_combine(bars, "date"))
-        .withColumn("piece", F.greatest("week", "month"))
+    return bars.groupBy("ticker", week.alias("week"), month.alias("month")).agg(*_combine(bars, "date"))
+
+
+def mergeable_pieces(bars: DataFrame) -> DataFrame:
+    """Partial bars of the days that lie in one week and one month, with what it takes to merge them later.
+
+    ``ticker, week, month, first_day, last_day, days`` and the values; ``days`` has a bit for each weekday that the
+    piece holds, so that a day which is sent again can be told.
+    """
+    week, month = bar_start(F.col("date"), "weekly"), bar_start(F.col("date"), "monthly")
+    return bars.groupBy("ticker", week.alias("week"), month.alias("month")).agg(
+        F.min("date").alias("first_day"), F.max("date").alias("last_day"), F.bit_or(day_bit(F.col("date"))).alias("days"), *_combine(bars, "date")
     )
 
 
-def _roll_up(pieces: DataFrame, timeframes: list[str]) -> DataFrame:
-    year = F.year("month")
-    block_columns = {
-        t: F.make_date(year - F.pmod(year - F.col("first_year"), F.lit(n)), F.lit(1), F.lit(1))
-        for t, n in YEARS_PER_BAR.items()
-    }
+def day_bit(day: Column) -> Column:
+    return F.pow(F.lit(2), F.weekday(day)).cast("int")
+
+
+def merge_pieces(pieces: DataFrame) -> DataFrame:
+    """Pieces of the same ticker, week and month as one, in whatever order their days came."""
+    first, last = _combine(pieces, "first_day"), _combine(pieces, "last_day")
+    by_name = dict(zip(bar_values(pieces), zip(first, last, strict=True), strict=True))
+    values = [by_name[c][0 if c == "open" else 1] for c in bar_values(pieces)]
+    return pieces.groupBy("ticker", "week", "month").agg(
+        F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day"), F.bit_or("days").alias("days"), *values
+    )
+
+
+def bar_starts(month: Column, week: Column, first_year: Column, timeframes: tuple[str, ...]) -> Column:
+    """The bars that a piece belongs to: an array of ``timeframe, start``."""
+    year = F.year(month)
     starts = {
-        "weekly": F.col("week"),
-        "monthly": F.col("month"),
-        "yearly": F.trunc("month", "year"),
-        **block_columns,
+        "weekly": week,
+        "monthly": month,
+        "yearly": F.trunc(month, "year"),
+        **{t: F.make_date(year - F.pmod(year - first_year, F.lit(n)), F.lit(1), F.lit(1)) for t, n in YEARS_PER_BAR.items()},
     }
-    targets = F.array(
-        *[F.struct(F.lit(t).alias("timeframe"), starts[t].alias("start")) for t in timeframes]
-    )
+    return F.array(*[F.struct(F.lit(t).alias("timeframe"), starts[t].alias("start")) for t in timeframes])
+
+
+def _roll_up(pieces: DataFrame, timeframes: list[str]) -> DataFrame:
+    first_year = F.min(F.year("month")).over(Window.partitionBy("ticker"))
+    return roll_up(pieces.withColumn("first_year", first_year), tuple(timeframes)).drop("start")
+
+
+def roll_up(pieces: DataFrame, timeframes: tuple[str, ...] = TIMEFRAMES[1:]) -> DataFrame:
+    """Bars of all coarser timeframes from pieces that know their ticker's ``first_year``; ``start`` is the bar's first day."""
+    year = F.year("month")
+    targets = bar_starts(F.col("month"), F.col("week"), F.col("first_year"), timeframes)
     multi_year = F.col("timeframe").isin(*YEARS_PER_BAR)
     return (
-        pieces.withColumn("first_year", F.min(year).over(Window.partitionBy("ticker")))
+        pieces.withColumn("piece", F.greatest("week", "month"))
         .select("ticker", "piece", "month", *bar_values(pieces), F.inline(targets))
         .groupBy("ticker", "timeframe", "start")
         .agg(*_combine(pieces, "piece"), F.min(year).alias("y0"), F.max(year).alias("y1"))
@@ -154,6 +182,7 @@ def _roll_up(pieces: DataFrame, timeframes: list[str]) -> DataFrame:
             F.when(multi_year, F.make_date("y1", F.lit(1), F.lit(1))).otherwise(F.col("start")).alias("date"),
             *bar_values(pieces),
             F.when(multi_year, F.concat("y0", F.lit("-"), "y1")).alias("period"),
+            "start",
         )
     )
 

@@ -17,7 +17,7 @@ from marketframe.sinks import (
     write_records_json,
     write_statements,
 )
-from marketframe.sources import read_articles, read_collections, read_prices, read_raw_statements, read_statements, read_universe
+from marketframe.sources import read_articles, read_collections, read_prices, read_raw_statements, read_statements, read_store, read_universe
 
 
 def build_bar_store(
@@ -74,4 +74,4 @@ def summarize_collections(
 
 def chart_figures(spark: SparkSession, store_path: str) -> DataFrame:
     """Chart figures of every ticker and timeframe in a bar store."""
-    return chart_report(*chart_parts(spark.read.parquet(store_path)))
+    return chart_report(*chart_parts(read_store(spark, store_path)))

@@ -19,9 +19,10 @@ from marketframe.operators.wide import normalize_wide
 from marketframe.plans import build_bar_store
 from marketframe.queries import tables as t
 from marketframe.schemas import TIMEFRAMES
+from marketframe.plans.rollup import read_rollup, update_rollup
 from marketframe.session import scratch_path
 from marketframe.sinks import write_bars
-from marketframe.sources import read_bars, read_prices, read_universe
+from marketframe.sources import read_bars, read_prices, read_store, read_universe
 
 AS_OF = date(2001, 8, 1)
 TWO_TICKERS = ("1-URGENT", "2-HIGH")
@@ -100,7 +101,7 @@ def bars_saved_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).write.parquet(prices)
     _write_universe(spark, sf_dir, universe)
     saved = build_bar_store(spark, prices, universe, store, as_of=AS_OF)
-    stored = spark.read.parquet(store).groupBy("timeframe").agg(F.count("*").alias("n_rows"))
+    stored = read_store(spark, store).groupBy("timeframe").agg(F.count("*").alias("n_rows"))
     reported = spark.createDataFrame(list(saved.items()), "timeframe string, n_saved long")
     return stored.join(reported, "timeframe")
 
@@ -165,6 +166,19 @@ def bars_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(read_bars(spark, store, "daily"))
 
 
+def bars_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches of days, the second with days before and between those of the first, the third sent twice."""
+    store = scratch_path(spark, "rollup")
+    days = t.supplier_bars(spark, sf_dir)
+    late = (F.col("date") < "1993-01-01") | (F.dayofmonth("date") % 7 == 3)
+    newest = F.col("date") >= "1997-01-01"
+    update_rollup(days.filter(~late & ~newest), store)
+    update_rollup(days.filter(late & ~newest), store)
+    update_rollup(days.filter(newest), store)
+    update_rollup(days.filter(newest), store)
+    return _rounded(read_rollup(spark, store))
+
+
 def bar_count_per_ticker(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bar_counts(resample_all(t.supplier_bars(spark, sf_dir)))
 
@@ -209,6 +223,7 @@ QUERIES = {
     "prices_time_stamped": prices_time_stamped,
     "prices_source_names": prices_source_names,
     "bars_two_runs": bars_two_runs,
+    "bars_incremental": bars_incremental,
     "bar_counts": bar_count_per_ticker,
     "run_summary": resample_summary,
     "wide_to_long": wide_to_long,
@@ -277,6 +292,7 @@ ORACLES = {
     "single_ticker_weekly": _one(t.MARKET_BARS_SQL, "weekly"),
     "bars_all_timeframes": _with(t.SUPPLIER_BARS_SQL, all_timeframes_sql(True)),
     "bars_all_timeframes_customers": _with(t.CUSTOMER_BARS_SQL, all_timeframes_sql()),
+    "bars_incremental": _with(t.SUPPLIER_BARS_SQL, all_timeframes_sql(True)),
     "bars_sorted": _one(t.CUSTOMER_BARS_SQL, "yearly") + " ORDER BY ticker, date",
     "bars_storage_layout": _with(
         t.SUPPLIER_BARS_SQL,

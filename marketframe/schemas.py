@@ -38,6 +38,9 @@ CHUNK_CHARS = 1000
 SHORT_TEXT_CHARS = 30
 CHART_DAYS = 365
 
+# the table of a bar store that holds the bars
+BAR_TABLE = "bars"
+
 # --- schemas ----------------------------------------------------------------------------------
 
 MEASURES = tuple(MEASURE_TAGS)

@@ -6,10 +6,11 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketframe import versions
 from marketframe.operators.resample import bar_values, lower_names, nan_to_null
 from marketframe.operators.series import SERIES_COLUMNS
 from marketframe.operators.universe import in_universe
-from marketframe.schemas import FALLBACK_TICKERS, MARKET_SUFFIX
+from marketframe.schemas import BAR_TABLE, FALLBACK_TICKERS, MARKET_SUFFIX
 
 
 def read_universe(
@@ -56,6 +57,14 @@ def read_prices(
     return in_universe(bars, universe) if universe is not None else bars
 
 
+def read_store(spark: SparkSession, path: str) -> DataFrame:
+    """All bars of a store, of the version that is newest when this is called."""
+    stored = versions.read_folders(spark, path, versions.current(spark, path), BAR_TABLE)
+    if stored is None:
+        raise FileNotFoundError(f"no bars have been published in {path}")
+    return stored.drop("version")
+
+
 def read_bars(
     spark: SparkSession, path: str, timeframe: str, tickers: Sequence[str] | None = None
 ) -> DataFrame:
@@ -64,7 +73,7 @@ def read_bars(
     The timeframe prunes folders; the tickers reach the Parquet scan, and since files are sorted by
     ticker most row groups are skipped.
     """
-    bars = spark.read.parquet(path).filter(F.col("timeframe") == timeframe)
+    bars = read_store(spark, path).filter(F.col("timeframe") == timeframe)
     if tickers is not None:
         bars = bars.filter(F.col("ticker").isin(*tickers))
     return bars.select("ticker", *SERIES_COLUMNS)

@@ -23,6 +23,7 @@ from marketframe.queries import QUERIES, tables
 from marketframe.schemas import BARS
 from marketframe.session import scratch_path
 from marketframe.sinks import write_bars
+from marketframe.sources import read_store
 
 
 def series(spark, closes, ticker="A", volume=1.0):
@@ -151,6 +152,6 @@ def test_report_from_prices_equals_report_from_store(spark, sf_dir):
     direct = chart_parts_of_prices(bars)
     assert rows(chart_report(*direct)) == rows(chart_figures(spark, store))
     assert rows(chart_report(*direct)) == rows(chart_report(chart_series(*direct)))
-    assert chart_series(*chart_parts(spark.read.parquet(store))).count() == chart_series(*direct).count()
+    assert chart_series(*chart_parts(read_store(spark, store))).count() == chart_series(*direct).count()
     titles = {r["title"] for r in chart_report(*direct).select("title").collect()}
     assert "5-LOW - Weekly Price" in titles and "5-LOW - 3year Price" in titles

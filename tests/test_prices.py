@@ -13,7 +13,7 @@ from marketframe.queries import tables
 from marketframe.schemas import BARS, FALLBACK_TICKERS, TIMEFRAMES
 from marketframe.session import scratch_path
 from marketframe.sinks import write_bars
-from marketframe.sources import read_bars, read_prices, read_universe
+from marketframe.sources import read_bars, read_prices, read_store, read_universe
 
 
 def bars_of(spark, rows):
@@ -155,8 +155,8 @@ def test_store_keeps_other_tickers_and_older_bars(spark):
     write_bars(daily("B", range(3), 2.0), path)
     for _ in range(2):
         assert write_bars(daily("A", range(2, 400), 5.0), path)["daily"] == 398
-    got = {(r["ticker"], r["date"]): r["close"] for r in spark.read.parquet(path).collect()}
-    assert spark.read.parquet(path).count() == len(got) == 403
+    got = {(r["ticker"], r["date"]): r["close"] for r in read_store(spark, path).collect()}
+    assert read_store(spark, path).count() == len(got) == 403
     assert [got["A", date(2024, 1, d)] for d in (1, 2, 3)] == [1.0, 1.0, 5.0] and got["B", date(2024, 1, 3)] == 2.0
 
 
@@ -172,7 +172,7 @@ def test_one_ticker_sits_in_few_files(spark):
         write_bars(resample_all(days.repartition(8), ("daily",)), path)
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    stored = spark.read.parquet(path)
+    stored = read_store(spark, path)
     files = stored.select("ticker", F.input_file_name().alias("f")).distinct().groupBy("ticker").agg(F.count("*").alias("n"))
     assert files.agg(F.avg("n")).first()[0] <= 1.2 and len(stored.inputFiles()) >= 4
 
@@ -181,15 +181,15 @@ def test_store_is_idempotent(spark, bars):
     path = scratch_path(spark, "store")
     everything = resample_all(bars)
     saved = write_bars(everything, path)
-    n = spark.read.parquet(path).count()
+    n = read_store(spark, path).count()
     assert sum(saved.values()) == n and all(saved.values())
     assert write_bars(everything, path) == saved
-    assert spark.read.parquet(path).count() == n
+    assert read_store(spark, path).count() == n
     # a later run for one timeframe leaves the others alone
     assert write_bars(everything.filter("timeframe = 'weekly'"), path)["weekly"] == saved["weekly"]
-    assert spark.read.parquet(path).count() == n
+    assert read_store(spark, path).count() == n
     write_bars(everything, path, mode="append")
-    assert spark.read.parquet(path).count() == 2 * n
+    assert read_store(spark, path).count() == 2 * n
     with pytest.raises(ValueError):
         write_bars(everything, path, mode="drop")
 
@@ -198,7 +198,7 @@ def test_clustered_store_has_the_same_rows(spark, bars):
     plain, clustered = scratch_path(spark, "store"), scratch_path(spark, "store")
     everything = resample_all(bars)
     assert write_bars(everything, plain) == write_bars(everything, clustered, cluster=True)
-    assert spark.read.parquet(plain).count() == spark.read.parquet(clustered).count()
+    assert read_store(spark, plain).count() == read_store(spark, clustered).count()
 
 
 def test_empty_frame_writes_nothing(spark, bars):
@@ -206,9 +206,9 @@ def test_empty_frame_writes_nothing(spark, bars):
     assert set(write_bars(resample_all(bars.limit(0)), path).values()) == {0}
     assert not any(f.endswith(".parquet") for _, _, files in os.walk(path) for f in files)
     write_bars(resample_all(bars), path)
-    n = spark.read.parquet(path).count()
+    n = read_store(spark, path).count()
     write_bars(resample_all(bars.limit(0)), path)
-    assert spark.read.parquet(path).count() == n
+    assert read_store(spark, path).count() == n
 
 
 def test_read_bars_prunes_partitions(spark, bars):

@@ -1,0 +1,183 @@
+import random
+from datetime import date, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from marketframe import versions
+from marketframe.operators.resample import resample_all
+from marketframe.plans import rollup
+from marketframe.plans.rollup import read_rollup, update_rollup
+from marketframe.schemas import BARS
+from marketframe.session import scratch_path
+from marketframe.sinks import write_bars
+from marketframe.sources import read_bars, read_store
+
+
+def daily(spark, ticker, days, value):
+    rows = [(ticker, date(2024, 1, 1) + timedelta(days=d), *[float(value)] * 5) for d in days]
+    return resample_all(spark.createDataFrame(rows, BARS), ("daily",))
+
+
+def closes(bars):
+    return {(r["ticker"], (r["date"] - date(2024, 1, 1)).days): r["close"] for r in bars.collect()}
+
+
+def test_a_run_that_dies_before_it_publishes_changes_nothing(spark, monkeypatch):
+    path = scratch_path(spark, "store")
+    write_bars(daily(spark, "A", range(5), 1), path)
+    before = closes(read_store(spark, path))
+
+    def dies(*_):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(versions, "publish", dies)
+        with pytest.raises(RuntimeError):
+            write_bars(daily(spark, "A", range(3, 9), 2), path)
+    assert closes(read_store(spark, path)) == before
+    write_bars(daily(spark, "A", range(3, 9), 2), path)
+    assert closes(read_store(spark, path)) == {("A", d): 1.0 if d < 3 else 2.0 for d in range(9)}
+
+
+def test_a_reader_keeps_the_version_it_began_with(spark):
+    path = scratch_path(spark, "store")
+    write_bars(daily(spark, "A", range(400), 1), path)
+    held = read_bars(spark, path, "daily")
+    write_bars(daily(spark, "A", range(10), 2), path)
+    assert set(closes(held).values()) == {1.0}
+    assert sorted(closes(read_bars(spark, path, "daily")).values()).count(2.0) == 10
+
+
+def test_a_list_that_was_cut_off_is_passed_over(spark):
+    path = scratch_path(spark, "store")
+    write_bars(daily(spark, "A", range(5), 1), path)
+    number = versions.current(spark, path).number
+    with open(f"{path}/{versions.LISTS}/{number + 1:010d}", "w") as f:
+        f.write('{"table": "bars"')
+    assert closes(read_store(spark, path)) == {("A", d): 1.0 for d in range(5)}
+    write_bars(daily(spark, "B", range(5), 1), path)
+    assert versions.current(spark, path).number == number + 2 and read_store(spark, path).count() == 10
+
+
+def test_of_two_runs_at_once_the_second_fails(spark):
+    path = scratch_path(spark, "store")
+    write_bars(daily(spark, "A", range(5), 1), path)
+    base = versions.current(spark, path)
+    versions.publish(spark, path, base, {}, {})
+    with pytest.raises(versions.Superseded):
+        versions.publish(spark, path, base, {}, {})
+
+
+def test_touched_rows_are_written_once_and_others_not_at_all(spark):
+    path = scratch_path(spark, "store")
+    write_bars(daily(spark, "A", range(800), 1), path)  # 2024 to 2026
+    before = versions.current(spark, path)
+    write_bars(daily(spark, "A", range(370, 380), 2), path)
+    after = versions.current(spark, path)
+    same = set(before.folders["bars"]) & set(after.folders["bars"])
+    new = set(after.folders["bars"]) - same
+    assert {versions.partition_of(f) for f in same} == {f"bars/timeframe=daily/year={y}" for y in (2024, 2026)}
+    assert len(new) == 1 and spark.read.parquet(*[f"{path}/{f}" for f in new]).count() == 365
+
+
+def test_old_versions_can_be_dropped(spark):
+    path = scratch_path(spark, "store")
+    for value in (1, 2, 3):
+        write_bars(daily(spark, "A", range(5), value), path)
+    assert versions.drop_old(spark, path, keep=1) == 2
+    assert set(closes(read_store(spark, path)).values()) == {3.0}
+    assert versions.drop_old(spark, path, keep=1) == 0
+    write_bars(daily(spark, "A", range(9), 4), path)
+    assert read_store(spark, path).count() == 9
+
+
+def test_columns_that_come_later(spark):
+    path = scratch_path(spark, "store")
+    write_bars(daily(spark, "A", range(2), 1), path)
+    write_bars(daily(spark, "A", range(400, 402), 2).withColumn("adj_close", F.lit(9.0)), path)
+    assert {r["adj_close"] for r in read_store(spark, path).collect()} == {None, 9.0}
+
+
+# --- incremental roll-up ----------------------------------------------------------------------
+
+
+def random_days(seed, tickers=4, years=range(2015, 2026)):
+    rng = random.Random(seed)
+    rows = {}
+    for i in range(tickers):
+        own = [y for y in years if rng.random() < 0.7] or [2020]
+        for _ in range(150):
+            day = date(rng.choice(own), 1, 1) + timedelta(days=rng.randrange(365))
+            rows[f"T{i}", day] = (f"T{i}", day, *[float(rng.randrange(1, 99)) for _ in range(5)])
+    return list(rows.values())
+
+
+def all_rows(bars):
+    return sorted((tuple(map(str, r)) for r in bars.collect()))
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_batches_in_any_order_equal_one_pass(spark, seed):
+    rng = random.Random(seed)
+    rows, path = random_days(seed), scratch_path(spark, "rollup")
+    rng.shuffle(rows)
+    cuts = sorted(rng.sample(range(len(rows)), 3))
+    for part in (rows[: cuts[0]], rows[cuts[0] : cuts[1]], rows[cuts[1] : cuts[2]] + rows[:30], rows[cuts[2] :]):
+        update_rollup(spark.createDataFrame(part, BARS), path)
+    assert all_rows(read_rollup(spark, path)) == all_rows(resample_all(spark.createDataFrame(rows, BARS)))
+
+
+def test_days_before_the_first_year_cut_the_multi_year_bars_anew(spark):
+    path = scratch_path(spark, "rollup")
+    row = lambda y, t="A": (t, date(y, 6, 3), 1.0, 2.0, 0.5, float(y), 1.0)
+    update_rollup(spark.createDataFrame([row(y) for y in (2020, 2021, 2022, 2024)] + [row(2020, "B")], BARS), path)
+    update_rollup(spark.createDataFrame([row(2019), row(2018)], BARS), path)
+    everything = spark.createDataFrame([row(y) for y in (2018, 2019, 2020, 2021, 2022, 2024)] + [row(2020, "B")], BARS)
+    assert all_rows(read_rollup(spark, path)) == all_rows(resample_all(everything))
+
+
+def test_days_that_are_stored_are_ignored(spark):
+    path = scratch_path(spark, "rollup")
+    days = spark.createDataFrame(random_days(5, 2), BARS)
+    assert update_rollup(days, path) == days.count()
+    number = versions.current(spark, path).number
+    assert update_rollup(days.withColumn("close", F.lit(-1.0)), path) == 0
+    assert versions.current(spark, path).number == number
+    assert update_rollup(days.limit(0), path) == 0
+    assert update_rollup(spark.createDataFrame([(None, date(2024, 1, 1), *[1.0] * 5), ("X", None, *[1.0] * 5)], BARS), path) == 0
+
+
+def test_an_update_reads_no_old_day_and_only_the_years_of_its_bars(spark, monkeypatch):
+    path, read, plans = scratch_path(spark, "rollup"), [], []
+    row = lambda y, d=3: ("A", date(y, 6, d), *[1.0] * 5)
+    update_rollup(spark.createDataFrame([row(y) for y in range(2000, 2025)], BARS), path)
+    original, replace = versions.read_folders, rollup._replace
+
+    def noted(spark, path, version, table, folders=None):
+        read.append(table)
+        return original(spark, path, version, table, folders)
+
+    def explained(rolled, *rest):
+        plans.append(rolled._jdf.queryExecution().simpleString())
+        return replace(rolled, *rest)
+
+    monkeypatch.setattr(versions, "read_folders", noted)
+    monkeypatch.setattr(rollup, "_replace", explained)
+    assert update_rollup(spark.createDataFrame([row(2024, 10)], BARS), path) == 1
+    assert "daily" not in read and "pieces" in read
+    # the five years that began in 2020 are the earliest bar touched
+    assert "year" in plans[0] and ">= 2020" in plans[0].split("PartitionFilters")[1]
+
+
+def test_a_roll_up_that_dies_can_be_repeated(spark, monkeypatch):
+    path, rows = scratch_path(spark, "rollup"), random_days(9, 2)
+    update_rollup(spark.createDataFrame(rows[:100], BARS), path)
+    before = all_rows(read_rollup(spark, path))
+    with monkeypatch.context() as patched:
+        patched.setattr(versions, "publish", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            update_rollup(spark.createDataFrame(rows[100:], BARS), path)
+    assert all_rows(read_rollup(spark, path)) == before
+    update_rollup(spark.createDataFrame(rows[100:], BARS), path)
+    assert all_rows(read_rollup(spark, path)) == all_rows(resample_all(spark.createDataFrame(rows, BARS)))
