@@ -8,11 +8,13 @@ pairs are, at 0.85 all but 0.00001.
 Documents with equal sets are one node from the start.  Keys are sorted over the whole cluster by (key, node), so that
 a key which a third of all nodes share is dealt over many tasks, and keys that occur once are dropped in that pass.
 
-Links are confirmed on full sets, from hubs: in each round some nodes of a bucket, those of its smallest components,
-are held against all its nodes of other components and then leave the bucket; a bucket is done when its nodes are one
-component.  Every candidate pair is so either confirmed, refuted, or inside a component already, while a group of
-thousands of near copies takes about as many comparisons as it has members.  The number of hubs per bucket grows
-fourfold with each round.
+Links are confirmed on full sets, from hubs: in each round one node of a bucket, of its largest component so far, is
+held against the bucket's nodes of other components and then leaves the bucket; a bucket is done when its nodes are one
+component.  So a group of thousands of near copies takes a few comparisons per member.  Once a round confirms few of
+its pairs, what is left are mostly nodes of similarities a little below 0.8 to many others.  Each of them is held
+against just those nodes of open buckets that it can still be linked with: sets of similarity 0.8 share one of their
+rarest shingles, at places that depend on both sizes (prefix filter, exact).  Every candidate pair is so confirmed,
+refuted, or inside a component.
 
 Defined results: texts that are null or have no word have an empty set and are linked with nothing; a text of one word
 has one shingle; a null doc_id takes part but is never a component's smallest id unless there is no other (it is then
@@ -39,8 +41,8 @@ WIDTH = 3
 #: Shingles hashed at a time, and nodes whose keys are formed at a time.
 CHUNK = 1 << 14
 NODES = 1_024
-#: Hubs per bucket in a round are this many times those of the round before.
-MORE_HUBS = 4
+#: Rounds of hubs go on while they confirm at least one in so many pairs.
+WORTHWHILE = 8
 
 _RANDOM = np.random.default_rng(12)
 _MULTIPLIERS = _RANDOM.integers(0, 1 << 63, COLLECTIONS * WIDTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -175,32 +177,73 @@ def confirmed(pairs: DataFrame, sets: DataFrame, similarity: int = SIMILARITY) -
     return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(hold, "a long, b long")
 
 
+def _open(rows: DataFrame, labels: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """``key, node, root`` of buckets with several components, and each one's largest component with its first node."""
+    named = rows.withColumn("root", F.col("node"))
+    if labels is not None:
+        named = rows.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    several = named.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("key")
+    live = stored(named.join(several, "key").select("key", "node", "root"), "minhash-open")
+    largest = Window.partitionBy("key").orderBy(F.col("n").desc(), "root")
+    by_root = live.groupBy("key", "root").agg(F.count("*").alias("n"), F.min("node").alias("hub"))
+    ranked = by_root.withColumn("nth", F.row_number().over(largest)).filter("nth = 1")
+    return live, stored(ranked.select("key", "hub", F.col("root").alias("of")), "minhash-hubs")
+
+
 def link(rows: DataFrame, sets: DataFrame, similarity: int = SIMILARITY) -> DataFrame | None:
     """``node, root`` of linked nodes, from rows ``key, node``; None if no pair is linked."""
-    labels, links, tested, hubs = None, [], None, 1
+    labels = None
+
+    def joined(found: DataFrame) -> DataFrame | None:
+        if found.isEmpty():
+            return labels
+        return components(found if labels is None else found.union(labels))
+
     while True:
-        named = rows.withColumn("root", F.col("node"))
-        if labels is not None:
-            named = rows.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        several = named.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("key")
-        live = stored(named.join(several, "key").select("key", "node", "root"), "minhash-open")
+        live, hubs = _open(rows, labels)
         if live.isEmpty():
             return labels
-        smallest = Window.partitionBy("key").orderBy("n", "root")
-        by_root = live.groupBy("key", "root").agg(F.count("*").alias("n"), F.min("node").alias("hub"))
-        ranked = by_root.withColumn("nth", F.row_number().over(smallest)).filter(F.col("nth") <= hubs)
-        chosen = stored(ranked.select("key", "hub", F.col("root").alias("of")), "minhash-hubs")
-        met = live.join(chosen, "key").filter("root <> of")
-        pairs = met.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-        fresh = stored(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "minhash-pairs")
-        found = stored(confirmed(fresh, sets, similarity), "minhash-links")
-        tested = fresh if tested is None else tested.union(fresh)
-        if not found.isEmpty():
-            links.append(found)
-            known = found if labels is None else found.union(labels)
-            labels = components(known)
-        left = live.join(chosen.select("key", F.col("hub").alias("node")), ["key", "node"], "left_anti")
-        rows, hubs = left.select("key", "node"), hubs * MORE_HUBS
+        met = live.join(hubs, "key").filter("root <> of")
+        pairs = stored(met.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct(), "minhash-pairs")
+        found = stored(confirmed(pairs, sets, similarity), "minhash-links")
+        labels = joined(found)
+        # a hub's pairs are all decided now
+        rows = live.join(hubs.select("key", F.col("hub").alias("node")), ["key", "node"], "left_anti").select("key", "node")
+        if WORTHWHILE * found.count() < pairs.count():
+            break
+    live, hubs = _open(rows, labels)
+    nodes = live.select("node", "root").distinct()
+    # of two components in a bucket one at least is not the largest
+    seekers = live.join(hubs, "key").filter("root <> of").select("node").distinct()
+    return joined(stored(confirmed(_reachable(nodes, seekers, sets, similarity), sets, similarity), "minhash-links"))
+
+
+def _reachable(nodes: DataFrame, seekers: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """Pairs ``a, b`` of a seeker and a node of another component whose rarest shingles allow a link.
+
+    Let two sets of n and m shingles, each ordered by how many nodes have a shingle, share at least
+    o = s / (100 + s) * (n + m).  Then they share a shingle among the first n - o + 1 of one and m - o + 1 of the other.
+    """
+    words = sets.join(nodes, "node").select("node", "root", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+    words = stored(words, "minhash-shingles")
+    # shingles that lie in one component only lead nowhere, but count in the order
+    spread = words.groupBy("shingle").agg(
+        F.count("*").alias("df"), (F.min("root") != F.max("root")).alias("useful")
+    )
+    rarest = Window.partitionBy("node").orderBy("df", "shingle")
+    longest = F.col("n") - F.ceil(F.col("n") * similarity / 100) + 1
+    placed = words.join(spread, "shingle").withColumn("place", F.row_number().over(rarest))
+    prefix = stored(placed.filter((F.col("place") <= longest) & F.col("useful")).drop("df", "useful"), "minhash-prefixes")
+    own = prefix.join(seekers, "node", "left_semi").toDF(*[f"{c}_" if c != "shingle" else c for c in prefix.columns])
+    least = F.ceil(F.lit(similarity) * (F.col("n") + F.col("n_")) / (100 + similarity))
+    fits = (
+        (F.col("root") != F.col("root_"))
+        & (F.col("place") <= F.col("n") - least + 1)
+        & (F.col("place_") <= F.col("n_") - least + 1)
+        & (100 * F.least("n", "n_") >= similarity * F.greatest("n", "n_"))
+    )
+    left = own.alias("own").join(prefix.alias("other"), (F.col("own.shingle") == F.col("other.shingle")) & fits)
+    return left.select(F.least("node", "node_").alias("a"), F.greatest("node", "node_").alias("b")).distinct()
 
 
 def label(docs: DataFrame, text: str = "text", size: int = SHINGLE, similarity: int = SIMILARITY) -> DataFrame:
