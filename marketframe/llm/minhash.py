@@ -234,7 +234,7 @@ def _reachable(nodes: DataFrame, seekers: DataFrame, sets: DataFrame, similarity
     longest = F.col("n") - F.ceil(F.col("n") * similarity / 100) + 1
     placed = words.join(spread, "shingle").withColumn("place", F.row_number().over(rarest))
     prefix = stored(placed.filter((F.col("place") <= longest) & F.col("useful")).drop("df", "useful"), "minhash-prefixes")
-    own = prefix.join(seekers, "node", "left_semi").toDF(*[f"{c}_" if c != "shingle" else c for c in prefix.columns])
+    own = prefix.join(seekers, "node", "left_semi").withColumnsRenamed({c: f"{c}_" for c in ("node", "root", "n", "place")})
     least = F.ceil(F.lit(similarity) * (F.col("n") + F.col("n_")) / (100 + similarity))
     fits = (
         (F.col("root") != F.col("root_"))
