@@ -58,6 +58,21 @@ def _write_files(documents: DataFrame, folder: str) -> None:
     documents.drop("s_suppkey").write.option("maxRecordsPerFile", 1).json(folder)
 
 
+def statements_partitioned_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file per supplier, dealt over a folder for each nation, some of them blank, listed by tasks."""
+    folder = scratch_path(spark, "landing")
+    documents = t.supplier_documents(spark, sf_dir)
+    nation = t.table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").alias("nation"))
+    text = F.when(F.col("s_suppkey") % 10 == 0, "").otherwise(F.to_json(F.struct("emiten", "laporan_keuangan")))
+    landed = documents.join(nation, "s_suppkey").select("nation", text.alias("value"))
+    landed.write.partitionBy("nation").option("maxRecordsPerFile", 1).text(folder)
+    found = read_statements(spark, folder, recursive=True, glob="*.txt")
+    nation_of = lambda df: df.withColumn("nation", F.regexp_extract("source_file", "nation=([0-9]+)/", 1).cast("int"))
+    files = nation_of(found).groupBy("nation").agg(F.count("*").alias("n_files"), F.count_if(F.col("v").isNull()).alias("n_unreadable"))
+    assets = nation_of(map_statement(found)).groupBy("nation").agg(F.sum("aset").alias("assets"))
+    return files.join(assets, "nation", "left")
+
+
 def statements_two_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Half of the suppliers' files, then the other half, then the second folder again."""
     first, second, bronze, table = (scratch_path(spark, n) for n in ("first", "second", "bronze", "table"))
@@ -144,6 +159,7 @@ QUERIES = {
     "statement_ranking": statement_ranking,
     "statements_from_files": statements_from_files,
     "statements_two_loads": statements_two_loads,
+    "statements_partitioned_listing": statements_partitioned_listing,
     "records_array": records_array,
     "records_rejected": records_rejected,
     "statements_bronze": statements_bronze,
@@ -179,6 +195,10 @@ ORACLES = {
         ORDER BY margin_laba DESC NULLS LAST, nama NULLS FIRST, source_file""",
     "statements_from_files": SUPPLIER_SUMMARY_SQL,
     "statements_two_loads": SUPPLIER_SUMMARY_SQL,
+    "statements_partitioned_listing": """
+        SELECT s_nationkey AS nation, count(*) AS n_files, count(*) FILTER (s_suppkey % 10 = 0) AS n_unreadable,
+               CAST(sum(s_suppkey) FILTER (s_suppkey % 10 <> 0) AS DOUBLE) AS assets
+        FROM supplier GROUP BY 1""",
     "records_array": "SELECT c_name AS nama, c_acctbal AS aset, CAST(NULL AS DOUBLE) AS ekuitas FROM customer",
     "records_rejected": """
         SELECT CASE WHEN c_custkey % 100 = 0 THEN 'no list' ELSE 'not JSON' END AS reason, count(*) AS n_files

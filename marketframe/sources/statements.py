@@ -6,30 +6,20 @@ from pyspark.sql import types as T
 
 from marketframe.operators.statements import parse_documents
 from marketframe.schemas import BRONZE, STATEMENTS
+from marketframe.sources.files import SLICES, SmallFiles
 
 
-def read_statements(spark: SparkSession, path: str, recursive: bool = False, glob: str = "*.json") -> DataFrame:
+def read_statements(spark: SparkSession, path: str, recursive: bool = False, glob: str = "*.json", slices: int = SLICES) -> DataFrame:
     """Every file in ``path`` that matches ``glob``, one document each: ``source_file, raw, v``.
 
-    ``v`` is null for files that are not JSON; ``split_corrupt`` separates them.  Files of zero bytes, which
-    Spark's readers skip, are taken from the file listing with an empty ``raw``.  ``recursive`` looks into
-    sub-folders too.  ``source_file`` is the file's path below ``path``.  Small files are packed into splits by
-    Spark, and the text is kept for the report of bad files.
+    ``v`` is null for files that are not JSON; ``split_corrupt`` separates them.  Files of zero bytes are among them,
+    with an empty ``raw``.  ``recursive`` looks into sub-folders too.  ``source_file`` is the file's path below ``path``.
+    Files are listed and read inside ``slices`` tasks per folder, see ``SmallFiles``; the text is kept for the report
+    of bad files.
     """
-    options = {"pathGlobFilter": glob, "recursiveFileLookup": recursive}
-    files = spark.read.text(path, wholetext=True, **options)
-    documents = files.select(F.col("_metadata.file_path").alias("_path"), F.col("value").alias("raw"))
-    # lengths only; the listing itself is on the driver anyway
-    listed = spark.read.format("binaryFile").options(**options).load(path)
-    names = spark.createDataFrame([(f,) for f in listed.inputFiles()], "_path string")
-    # one form of the address has one slash after the scheme, the other three
-    same = lambda column: F.regexp_replace(column, "^([A-Za-z0-9+.-]+):/+", "$1:/").alias("_same")
-    filled = listed.select(same(F.col("_metadata.file_path")))
-    empty = names.withColumn("_same", same(F.col("_path"))).join(filled, "_same", "left_anti")
-    empty = empty.select("_path", F.lit("").alias("raw"))
-    below = F.url_decode(F.replace(F.substring_index("_path", path.rstrip("/") + "/", -1), F.lit("+"), F.lit("%2B")))
-    everything = documents.unionByName(empty)
-    return parse_documents(everything.select(below.alias("source_file"), "raw"))
+    spark.dataSource.register(SmallFiles)
+    options = {"glob": glob, "recursive": recursive, "slices": slices}
+    return parse_documents(spark.read.format(SmallFiles.name()).options(**options).load(path))
 
 
 def read_raw_statements(spark: SparkSession, path: str) -> DataFrame:

@@ -74,6 +74,52 @@ def test_has_statement(spark, folder):
     assert {"a.json", "below/a.json", "empty 0%.json"} <= {r[0] for r in below} and len(below) == len({r[0] for r in below})
 
 
+def test_thousands_of_files_are_listed_by_tasks(spark, tmp_path):
+    """5,000 files of three levels: each read once, whatever the number of slices, and no list of them in the plan."""
+    for i in range(5000):
+        folder = tmp_path / f"d{i % 7}" / f"e {i % 3}%" if i % 11 else tmp_path
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / f"{i:05d}.json").write_text("" if i % 100 == 0 else '{"laporan_keuangan":{"Assets":%d}}' % i)
+    (tmp_path / "_temporary").mkdir()
+    (tmp_path / "_temporary" / "x.json").write_text("{}")
+    (tmp_path / "d1" / ".hidden.json").write_text("{}")
+    for slices in (1, 40):
+        found = read_statements(spark, str(tmp_path), recursive=True, slices=slices)
+        assert found.inputFiles() == []
+        plan = found._jdf.queryExecution().toString()
+        assert "LocalTableScan" not in plan and "LogicalRDD" not in plan
+        rows = found.select("source_file", F.col("raw") == "").collect()
+        assert len(rows) == len({r[0] for r in rows}) == 5000 and sum(r[1] for r in rows) == 50
+        good, bad = split_corrupt(found)
+        assert bad.count() == 50
+        assert map_statement(good).agg(F.sum("aset")).first()[0] == sum(i for i in range(5000) if i % 100)
+    assert read_statements(spark, str(tmp_path)).count() == len([i for i in range(5000) if i % 11 == 0])
+    assert read_statements(spark, f"file:{tmp_path}", glob="0000?.json").count() == 1
+
+
+def test_folders_without_files_and_missing_ones(spark, tmp_path):
+    assert read_statements(spark, str(tmp_path)).collect() == []
+    with pytest.raises(Exception, match="is no folder"):
+        read_statements(spark, str(tmp_path / "none")).collect()
+
+
+def test_bytes_that_are_not_text(spark, tmp_path):
+    (tmp_path / "x.json").write_bytes(b'{"emiten": "\xff"}')
+    assert read_statements(spark, str(tmp_path)).first()["raw"] == '{"emiten": "\ufffd"}'
+
+
+def test_large_files_go_on_in_batches(tmp_path):
+    from marketframe.sources import files
+
+    for i in range(5):
+        (tmp_path / f"{i}.json").write_text("x" * (files.BATCH_BYTES // 2))
+    reader = files.SmallFilesReader({"path": str(tmp_path)})
+    batches = [b for part in reader.partitions() for b in reader.read(part)]
+    assert sum(b.num_rows for b in batches) == 5
+    one = files.SmallFilesReader({"path": str(tmp_path), "slices": "1"})
+    assert [b.num_rows for part in one.partitions() for b in one.read(part)] == [3, 2]
+
+
 def test_single_precision_on_request(spark):
     raw = spark.createDataFrame([("x", '{"laporan_keuangan":{"Assets":12345678901234}}')], "source_file string, raw string")
     assert map_statement(parse_documents(raw)).first()["aset"] == 12345678901234.0
