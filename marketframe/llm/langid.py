@@ -27,8 +27,8 @@ SMOOTHING = 0.5
 UNDETERMINED = "und"
 #: Code points worked on at a time; longer texts are taken in overlapping pieces.
 CHUNK = 1 << 18
-#: Documents whose best language has less than this posterior probability are rejected by ``filter_languages``.
-MIN_SCORE = 0.5
+#: ``filter_languages`` rejects documents that fit their language less than this, see ``fit_range``.
+MIN_FIT = 0.45
 
 
 def has_letter(text: str | None) -> bool:
@@ -98,35 +98,48 @@ def train(docs: DataFrame, smoothing: float = SMOOTHING) -> tuple[list[str], np.
     return [row.lang for row in rows], np.log((counts + smoothing) / (counts.sum(axis=0) + smoothing * BUCKETS))
 
 
-def score_texts(texts: list[str | None], languages: list[str], matrix: np.ndarray) -> tuple[list[str], np.ndarray]:
-    """The likeliest language of each text and its posterior probability."""
-    names, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
+def fit_range(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per language the mean log-probability of n-grams drawn at random from all buckets, and from the language itself."""
+    return matrix.mean(axis=0), (np.exp(matrix) * matrix).sum(axis=0)
+
+
+def score_texts(texts: list[str | None], languages: list[str], matrix: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The likeliest language of each text, its posterior probability, and how well the text fits the language.
+
+    The posterior tells languages apart, but of a long text in none of them it is 1 for some language as well.  The fit
+    is the mean log-probability per n-gram on a scale from noise (0) to the language's own text (1), at any length.
+    """
+    names, scores, fits = [UNDETERMINED] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
+    noise, own = fit_range(matrix) if languages else (None, None)
     for i, text in enumerate(texts):
         if not languages or not has_letter(text):
             continue
-        total = np.zeros(len(languages))
+        total, grams = np.zeros(len(languages)), 0
         for found in buckets_of(text):
             seen = np.bincount(found, minlength=BUCKETS) if len(found) > BUCKETS else None
             total += seen @ matrix if seen is not None else matrix[found].sum(axis=0)
+            grams += len(found)
         best = int(total.argmax())
         names[i], scores[i] = languages[best], 1.0 / np.exp(total - total[best]).sum()
-    return names, scores
+        span = own[best] - noise[best]
+        fits[i] = (total[best] / grams - noise[best]) / span if span > 0 else 1.0
+    return names, scores, fits
 
 
 def predict(spark: SparkSession, model: tuple[list[str], np.ndarray], text: str = "text") -> Column:
-    """A struct ``lang_pred, score`` for each text."""
+    """A struct ``lang_pred, score, fit`` for each text."""
     shared = spark.sparkContext.broadcast(model)
 
-    @arrow_udf("lang_pred string, score double")
+    @arrow_udf("lang_pred string, score double, fit double")
     def scored(column: pa.Array) -> pa.Array:
-        names, scores = score_texts(column.to_pylist(), *shared.value)
-        return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores)], ["lang_pred", "score"])
+        names, scores, fits = score_texts(column.to_pylist(), *shared.value)
+        return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores), pa.array(fits)], ["lang_pred", "score", "fit"])
 
     return scored(text)
 
 
 def identify(docs: DataFrame, training: DataFrame | None = None) -> DataFrame:
-    """All rows of ``docs`` as the struct ``doc``, with ``held_out``, ``lang_pred`` and ``score``.
+    """All rows of ``docs`` as the struct ``doc``, with ``held_out``, ``lang_pred``, ``score`` and ``fit``.
 
     The model is fitted on the training rows of ``training`` (default: of ``docs`` itself).
     """
@@ -134,10 +147,10 @@ def identify(docs: DataFrame, training: DataFrame | None = None) -> DataFrame:
     model = train(rows.filter(in_training(F.col("doc_id"))))
     doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
     found = docs.select(doc, predict(docs.sparkSession, model).alias("_found"))
-    return found.select("doc", (~in_training(F.col("doc.doc_id"))).alias("held_out"), "_found.lang_pred", "_found.score")
+    return found.select("doc", (~in_training(F.col("doc.doc_id"))).alias("held_out"), "_found.*")
 
 
-def filter_languages(docs: DataFrame, min_score: float = MIN_SCORE, **options) -> DataFrame:
-    """The documents whose language was found, with their own columns."""
-    found = identify(docs, **options).filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= min_score))
+def filter_languages(docs: DataFrame, min_fit: float = MIN_FIT, **options) -> DataFrame:
+    """The documents in one of the learned languages, with their own columns."""
+    found = identify(docs, **options).filter((F.col("lang_pred") != UNDETERMINED) & (F.col("fit") >= min_fit))
     return found.select("doc.*")

@@ -23,8 +23,8 @@ THRESHOLD = -0.1
 #: Added to the counts of every bucket, in shares of the mean raw count of a bucket: n-grams that are rare in the corpus,
 #: such as those of a group of copies that the trusted documents happen to miss, say little at any size.
 SMOOTHING = 2.0
-#: The least that is added, for corpora of a few thousand documents.
-LEAST_SMOOTHING = 100.0
+#: Added as well at any size: a prior of so many n-grams per bucket, which the counts of a large corpus outweigh.
+PRIOR = 100.0
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
@@ -110,7 +110,7 @@ def log_ratios(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, smoot
 
     def ratio(cell):
         # both smoothed by the same share of their size, so that the size of the target shifts no score
-        added = F.greatest(smoothing * F.col("nr") / buckets, F.lit(LEAST_SMOOTHING))
+        added = smoothing * F.col("nr") / buckets + PRIOR
         in_target = cell["t"] * (F.col("nr") / F.col("nt")) + added
         return F.when(F.col("nt") == 0, 0.0).otherwise(F.log(in_target) - F.log(cell["r"] + added))
 

@@ -3,7 +3,8 @@
 Every page becomes a request, a response and a metadata record; the request and the metadata name the response in
 ``WARC-Concurrent-To``.  Of pages with equal payloads only those with the smallest page_id keep theirs, the others
 are revisit records that carry its digest.  Records are written by Spark's text writer, whose line separator is the
-blank line that ends a record; files hold a bounded number of records and are compressed.
+blank line that ends a record; files are compressed.  Pages are written in classes of size, and a file of a class holds
+as many captures as keep it within a bound of bytes; equal payloads are of one class.
 
 Archives are read as whole files (``binaryFile``) and parsed by content length, a record at a time.  ``assemble``
 joins request, response and metadata through the concurrent-to identifiers to one nested row per capture.
@@ -23,8 +24,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 VERSION = "WARC/1.1"
-#: Captures of a file, at most.
-CAPTURES_PER_FILE = 1_000
+#: Bytes of payload in a file, at most, unless one page alone has more.
+FILE_BYTES = 64 << 20
+#: Pages are written by size: those of up to so many bytes, and larger ones one to a file.
+SIZES = (16 << 10, 256 << 10, 4 << 20)
 #: Payload bytes sent to Spark at a time when reading, about.
 BATCH_BYTES = 8 << 20
 #: Payloads of fewer bytes are always kept.
@@ -82,8 +85,17 @@ def _urn(name: str) -> Column:
     return F.concat(F.lit("<urn:uuid:"), F.col(name), F.lit(">"))
 
 
-def write_archives(pages: DataFrame, path: str, date: str = "2000-01-01T00:00:00Z") -> None:
-    """Write pages (``page_id, url, html``) as compressed archives below ``path``."""
+def write_archives(
+    pages: DataFrame, path: str, date: str = "2000-01-01T00:00:00Z", file_bytes: int = FILE_BYTES, sizes: tuple[int, ...] = SIZES
+) -> None:
+    """Write pages (``page_id, url, html``) as compressed archives below ``path``, a folder per class of size."""
+    size = F.coalesce(F.octet_length("html"), F.lit(0))
+    for least, most in zip((-1, *sizes), (*sizes, None), strict=True):
+        part = pages.filter((size > least) & (size <= most) if most is not None else size > least)
+        _write_class(part, f"{path}/over-{max(least, 0)}", date, max(1, file_bytes // most) if most else 1)
+
+
+def _write_class(pages: DataFrame, path: str, date: str, captures_per_file: int) -> None:
     # the identifiers only have to differ: a task that is repeated writes its whole file anew
     captures = payloads(pages).withColumns({f"_{k}": F.uuid() for k in ("response", "request", "metadata")})
     uri, day = _uri(F.col("url")), F.lit(date)
@@ -116,7 +128,7 @@ def write_archives(pages: DataFrame, path: str, date: str = "2000-01-01T00:00:00
     )
     records = captures.select(F.explode(F.array(request, response, metadata)).alias("value"))
     records.write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option(
-        "maxRecordsPerFile", 3 * CAPTURES_PER_FILE
+        "maxRecordsPerFile", 3 * captures_per_file
     ).text(path)
 
 
@@ -169,7 +181,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
                 if rows:
                     yield batch(rows)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
+    files = spark.read.format("binaryFile").options(pathGlobFilter="*.gz", recursiveFileLookup=True).load(path).select("content")
     return files.mapInArrow(read, RECORD)
 
 

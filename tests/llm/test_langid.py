@@ -69,6 +69,33 @@ def test_filter_keeps_columns(spark):
     assert kept.columns == docs.columns and kept.count() == len(ROWS)
 
 
+def test_filter_rejects_noise_and_other_scripts(spark, sf_dir):
+    """The posterior of long texts in no learned language is 1 for some language; their fit is low, that of clean texts high."""
+    import random
+
+    rng = random.Random(6)
+    odd = {
+        -1: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(600)),
+        -2: "В начале было слово, и все люди собрались на площади, чтобы услышать новости о погоде и урожае. " * 5,
+        -3: "昔々あるところにおじいさんとおばあさんが住んでいました。おじいさんは山へ芝刈りに行きました。" * 5,
+        -4: "x 12345 67890 " * 30,
+    }
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    strange = spark.createDataFrame([(i, t, None) for i, t in odd.items()], "doc_id long, text string, lang string")
+    found = {r.doc.doc_id: r for r in langid.identify(docs.union(strange)).collect()}
+    assert all(found[i].score > 0.99 and found[i].fit < langid.MIN_FIT for i in odd)
+    assert sorted(i for i in found if found[i].fit < langid.MIN_FIT) == sorted(odd)
+    kept = {r.doc_id for r in langid.filter_languages(docs.union(strange)).collect()}
+    assert kept == {r.doc_id for r in docs.collect()}
+
+
+def test_fit_does_not_depend_on_length():
+    matrix = np.log(np.random.default_rng(0).dirichlet(np.full(langid.BUCKETS, 0.05), 2).T + 1e-9)
+    text = "some words of no language at all"
+    fits = [langid.score_texts([text * n], ["a", "b"], matrix)[2][0] for n in (1, 50)]
+    assert abs(fits[0] - fits[1]) < 0.1
+
+
 def test_too_many_languages_fail(spark, monkeypatch):
     monkeypatch.setattr(langid, "MAX_LANGUAGES", 1)
     with pytest.raises(ValueError, match="more than 1"):

@@ -17,7 +17,7 @@ def test_stages(spark):
     ids = {name: [r.doc_id for r in df.select("doc_id").collect()] for name, df in outputs.items()}
 
     found = langid.identify(inputs["language"]).collect()
-    assert sorted(ids["language"]) == sorted(r.doc.doc_id for r in found if r.lang_pred != "und" and r.score >= 0.5)
+    assert sorted(ids["language"]) == sorted(r.doc.doc_id for r in found if r.lang_pred != "und" and r.fit >= langid.MIN_FIT)
 
     judged = quality.assess(inputs["quality"], labels).collect()
     assert sorted(ids["quality"]) == sorted(r.doc.doc_id for r in judged if r.kept)

@@ -66,7 +66,7 @@ def test_scores_against_brute_force(tables):
         if i == 10:
             target.update(ngrams(text))
     ratio = sum(raw.values()) / sum(target.values())
-    added = max(quality.SMOOTHING * sum(raw.values()) / quality.BUCKETS, quality.LEAST_SMOOTHING)
+    added = quality.SMOOTHING * sum(raw.values()) / quality.BUCKETS + quality.PRIOR
     for row, text in zip(quality.assess(docs, labels).orderBy("doc.doc_id").collect(), TEXTS, strict=True):
         grams = ngrams(text)
         if not grams:

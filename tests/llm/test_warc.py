@@ -64,6 +64,30 @@ def test_payloads_and_links(spark):
     assert len({r.record_id for r in records.select("record_id").collect()}) == 3 * len(PAGES)
 
 
+def test_files_are_bounded_by_bytes(spark):
+    """One page of 20 MB among small ones, and bounds lowered: no file holds more than its bound or one capture."""
+    import random
+    from collections import Counter
+
+    rng = random.Random(3)
+    pages = [(i, f"http://{i}/", "y" * rng.randrange(3_000)) for i in range(300)] + [(1000, "http://big/", "z" * 20_000_000)]
+    path = scratch_path(spark, "warc-test")
+    frame = spark.createDataFrame([(*r, "x") for r in pages], SCHEMA).coalesce(1)
+    warc.write_archives(frame, path, file_bytes=8_000, sizes=(500, 2_000))
+    files = spark.read.format("binaryFile").options(pathGlobFilter="*.gz", recursiveFileLookup=True).load(path)
+    import gzip
+
+    seen = Counter()
+    for name, content in ((r.path, bytes(r.content)) for r in files.collect()):
+        payloads = [r for r in warc.parse(io.BytesIO(gzip.decompress(content))) if r[0] in ("response", "revisit")]
+        held = sum(len(r[-1] or b"") for r in payloads)
+        assert held <= 8_000 or len(payloads) == 1
+        seen[name.split("/")[-2]] += len(payloads)
+    assert sum(seen.values()) == 301 and set(seen) == {"over-0", "over-500", "over-2000"}
+    got = {r.page_id: r.payload_bytes for r in resolved(warc.read_records(spark, path)).collect()}
+    assert got == {i: len(html) for i, _, html in pages}
+
+
 def test_captures_without_their_records(spark):
     records = archived(spark, PAGES[:2]).filter("record_type = 'response'")
     assert [(c.request, c.metadata) for c in warc.assemble(records).collect()] == [(None, None)] * 2
