@@ -17,7 +17,7 @@ from marketframe.operators.news import (
 from marketframe.queries import tables as t
 from marketframe.session import scratch_path
 from marketframe.sources import read_collections
-from marketframe.streaming import read_drained, stream_pending
+from marketframe.streaming import drain_collections, read_collections_drained, read_drained, stream_pending
 
 
 def _lead_model():
@@ -127,6 +127,24 @@ def collections_summarized_by_model(spark: SparkSession, sf_dir: str) -> DataFra
     return summarize_pending(read_collections(spark, paths), _lead_model()).drop("content")
 
 
+def collections_drained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two collections whose ids overlap, drained with keyed state.
+
+    The model fails in the first run, which sees one collection; the second run sees both and tries the first one's
+    articles again; before the third all files of the first collection land once more, unchanged.
+    """
+    paths = {"articles": scratch_path(spark, "articles"), "articles2": scratch_path(spark, "articles")}
+    out, state = scratch_path(spark, "drained"), scratch_path(spark, "state")
+    t.articles(spark, sf_dir).write.parquet(paths["articles"])
+    t.page_articles(spark, sf_dir).limit(0).write.parquet(paths["articles2"])
+    drain_collections(spark, paths, out, state, _failing_model()).awaitTermination()
+    t.page_articles(spark, sf_dir).write.mode("append").parquet(paths["articles2"])
+    drain_collections(spark, paths, out, state, _lead_model()).awaitTermination()
+    t.articles(spark, sf_dir).write.mode("append").parquet(paths["articles"])
+    drain_collections(spark, paths, out, state, _lead_model()).awaitTermination()
+    return read_collections_drained(spark, out).drop("content")
+
+
 QUERIES = {
     "articles_read": articles_read,
     "articles_pending": articles_pending,
@@ -140,6 +158,7 @@ QUERIES = {
     "articles_streamed": articles_streamed,
     "articles_streamed_retry": articles_streamed_retry,
     "collections_summarized_by_model": collections_summarized_by_model,
+    "collections_drained": collections_drained,
 }
 
 # --- expected results -------------------------------------------------------------------------
@@ -209,6 +228,11 @@ PAGES_SQL = "SELECT page_id AS article_id, html AS content, CAST(NULL AS VARCHAR
 
 SUMMARIZED_SQL = f"WITH articles AS ({t.ARTICLES_SQL}) {_summarized_sql('articles')}"
 
+COLLECTIONS_SUMMARIZED_SQL = f"""
+    WITH articles AS ({t.ARTICLES_SQL}), others AS ({PAGES_SQL})
+    SELECT 'articles' AS collection, article_id, summary FROM ({_summarized_sql('articles')})
+    UNION ALL SELECT 'articles2', article_id, summary FROM ({_summarized_sql('others')})"""
+
 ORACLES = {
     "articles_read": f"""
         SELECT 'articles' AS collection, article_id, length(coalesce(content, '')) AS n_chars, summary
@@ -231,10 +255,8 @@ ORACLES = {
     "articles_streamed_retry": f"""
         WITH articles AS ({t.ARTICLES_SQL})
         SELECT article_id, coalesce(content, '') AS content, summary FROM ({_summarized_sql('articles')})""",
-    "collections_summarized_by_model": f"""
-        WITH articles AS ({t.ARTICLES_SQL}), others AS ({PAGES_SQL})
-        SELECT 'articles' AS collection, article_id, summary FROM ({_summarized_sql('articles')})
-        UNION ALL SELECT 'articles2', article_id, summary FROM ({_summarized_sql('others')})""",
+    "collections_summarized_by_model": COLLECTIONS_SUMMARIZED_SQL,
+    "collections_drained": COLLECTIONS_SUMMARIZED_SQL,
     "articles_streamed": f"""
         WITH articles AS ({t.ARTICLES_SQL} UNION ALL SELECT -1 - page_id, html, NULL FROM pages)
         SELECT article_id, coalesce(content, '') AS content, summary FROM ({_summarized_sql('articles')})""",

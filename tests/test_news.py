@@ -15,7 +15,7 @@ from marketframe.plans import summarize_collection
 from marketframe.schemas import ARTICLES
 from marketframe.session import scratch_path
 from marketframe.sources import read_articles, read_collections
-from marketframe.streaming import read_drained, stream_pending
+from marketframe.streaming import drain_collections, read_collections_drained, read_drained, stream_pending
 
 LONG = "First sentence is here. Second one follows. Third one is not in the lead. " + "Filler text goes on. " * 100
 
@@ -214,3 +214,79 @@ def test_later_runs_take_up_articles_that_failed(spark, articles):
     assert run(lead_model(), state) == by_id(summarize_pending(articles))
     # a fresh checkpoint folder reads all files again and leaves earlier runs in place
     assert run(lead_model(), scratch_path(spark, "state")) == by_id(summarize_pending(articles))
+
+
+def failing_model():
+    def load():
+        def summarize(texts):
+            raise RuntimeError("model error")
+
+        return summarize
+
+    return load
+
+
+def test_keyed_state_takes_up_only_what_changed(spark):
+    """Two collections with the same ids; what each run writes is what has changed or failed, nothing else."""
+    a, b, out, state = (scratch_path(spark, n) for n in ("a", "b", "out", "state"))
+    spark.createDataFrame(ROWS, ARTICLES).write.parquet(a)
+    spark.createDataFrame([(1, "other " + LONG, None), (2, LONG, None), (None, LONG, None)], ARTICLES).write.parquet(b)
+    seen = 0
+
+    def run(model):
+        nonlocal seen
+        query = drain_collections(spark, {"a": a, "b": b}, out, state, model)
+        query.awaitTermination()
+        assert query.exception() is None
+        rows = spark.read.parquet(out)
+        written = sorted((r.collection, r.article_id, r.version) for r in rows.orderBy("ran").collect()[seen:])
+        seen = rows.count()
+        return written
+
+    def summaries():
+        return {(r.collection, r.article_id): r.summary for r in read_collections_drained(spark, out).collect()}
+
+    first = run(failing_model())
+    assert first == [*[("a", i, 1) for i in range(1, 7)], ("b", 1, 1), ("b", 2, 1)]
+    assert summaries()["a", 1] == summaries()["b", 2] == "" and summaries()["a", 2] == "done"
+    # only the three that the model failed at
+    assert run(lead_model()) == [("a", 1, 1), ("b", 1, 1), ("b", 2, 1)]
+    expected = by_id(summarize_pending(spark.createDataFrame(ROWS, ARTICLES)))
+    assert {i: s for (c, i), s in summaries().items() if c == "a"} == expected
+    assert summaries()["b", 2] == expected[1] and summaries()["b", 1].startswith("other First")
+    # nothing new, and files that land again unchanged
+    assert run(lead_model()) == []
+    spark.createDataFrame(ROWS, ARTICLES).write.mode("append").parquet(a)
+    assert run(lead_model()) == []
+    # one changed, one new, in one collection
+    spark.createDataFrame([(2, LONG, None), (9, "short", None)], ARTICLES).write.mode("append").parquet(a)
+    assert run(lead_model()) == [("a", 2, 2), ("a", 9, 1)]
+    assert summaries()["a", 2] == expected[1] and summaries()["b", 2] == expected[1] and len(summaries()) == 9
+
+
+def test_of_several_landings_the_newest_counts():
+    import pandas as pd
+
+    from marketframe.streaming.keyed import changed
+
+    class State:
+        exists, get = False, None
+
+        def update(self, value):
+            self.exists, self.get = True, value
+
+    def rows(*values):
+        return iter([pd.DataFrame([v], columns=["content", "summary", "version", "landed", "digest"]) for v in values])
+
+    state, none = State(), float("nan")
+    out = list(changed(("c", 1), rows(("b", None, none, 5, 11), ("a", None, none, 5, 12), ("z", None, none, 4, 13)), state))
+    assert [o["content"][0] for o in out] == ["b"] and state.get == (1, 5, 11)
+    # an older file that arrives later, and a retry of a version that is not the present one
+    assert list(changed(("c", 1), rows(("y", None, none, 3, 14), ("b", "", 7, none, none)), state)) == []
+    retry = list(changed(("c", 1), rows(("b", "", 1, none, none)), state))
+    assert [(o["content"][0], o["version"][0]) for o in retry] == [("b", 1)]
+
+
+def test_no_run_yet(spark):
+    with pytest.raises(FileNotFoundError):
+        read_collections_drained(spark, scratch_path(spark, "none"))
