@@ -66,3 +66,41 @@ def test_many_equal_vectors(spark):
     rows = [(i, [0.6, 0.8, 0.1]) for i in range(3000)]
     got = found(ann.nearest(frame(spark, rows), block=500, every=1000))
     assert [g[2] for g in got] == [1, 2, 3, 4, 5, 0, 1, 2, 3, 4, 0, 1, 2, 3, 4]
+
+
+def unit(vectors):
+    return vectors / np.sqrt((vectors * vectors).sum(1))[:, None]
+
+
+@pytest.mark.parametrize("clusters", [0, 50])
+def test_few_rows_are_verified(clusters):
+    """Evenly spread directions are the worst case; a radius from a sample of one in 16 must prune both."""
+    rng = np.random.default_rng(3)
+    vectors = rng.standard_normal((8_000, 64))
+    if clusters:
+        vectors = 3 * rng.standard_normal((clusters, 64))[rng.integers(clusters, size=8_000)] + vectors
+    ids, queries, sample = np.arange(8_000), np.arange(0, 8_000, 80), np.arange(7, 8_000, 16)
+    cosines = unit(vectors[queries]) @ unit(vectors).T
+    cosines[np.arange(len(queries)), queries] = -9
+    radii = np.array([ann.distance(c) for c in np.sort(cosines[:, sample])[:, -5]])
+    index = ann.Index(ids, vectors)
+    got = [set(found.tolist()) for found, _ in index.search(queries, vectors[queries], radii, 5)]
+    want = [set(row.tolist()) for row in np.argsort(-cosines, axis=1)[:, :5]]
+    assert sum(len(g & w) for g, w in zip(got, want)) >= 0.95 * 5 * len(want)
+    assert index.verified <= 0.2 * len(queries) * len(ids)
+
+
+def test_copies_lie_within_a_radius_of_zero():
+    vectors = np.random.default_rng(5).standard_normal((500, 16))
+    vectors[100:130] = vectors[3]
+    index = ann.Index(np.arange(500), vectors)
+    ((found, scores),) = index.search(np.array([3]), vectors[3:4], np.array([0.0]), 5)
+    assert found.tolist() == [100, 101, 102, 103, 104] and scores == pytest.approx([1.0] * 5)
+    assert index.verified == 30
+
+
+def test_rare_lengths_verify_everything(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, v) for i, v in enumerate(rng.standard_normal((40, 4)))] + [(100 + i, v) for i, v in enumerate(rng.standard_normal((4, 3)))]
+    got, want = found(ann.nearest(frame(spark, rows), every=20)), brute(rows, every=20)
+    assert [g[:3] for g in got] == [w[:3] for w in want]
