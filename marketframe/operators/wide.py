@@ -1,11 +1,14 @@
 """Wide price frames, one column per field and ticker, to one row per day and ticker."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketframe.operators.resample import nan_to_null
 from marketframe.schemas import PRICE_FIELDS
 
+CELL = r'("[^"]*(?:""[^"]*)*"|[^,"]*),'
+NAME = rf"^({'|'.join(PRICE_FIELDS)}) ([^ ]*)$"
+
 
 def split_name(column: str) -> tuple[str, str] | None:
     """``"Adj Close AALI.JK"`` as ``("Adj Close", "AALI.JK")``; None for other columns.
@@ -47,6 +50,58 @@ def normalize_wide(wide: DataFrame, id_col: str = "Date", ticker: str | None = N
     )
 
 
+def csv_cells(line: Column) -> Column:
+    """The cells of a line of comma-separated values; quoted ones may hold commas and doubled quotes."""
+    cells = F.regexp_extract_all(F.concat(line, F.lit(",")), F.lit(CELL), 1)
+    unquoted = lambda c: F.replace(F.substring(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))
+    return F.transform(cells, lambda c: F.when(c.startswith('"'), unquoted(c)).otherwise(F.trim(c)))
+
+
+def wide_headers(headers: DataFrame, id_col: str = "Date") -> DataFrame:
+    """``source_file, raw`` (header lines) to ``source_file, day, quotes``: where a file keeps each ticker's fields.
+
+    ``day`` is the position of ``id_col``; ``quotes`` has one struct per ticker with a position per field.  Files
+    without ``id_col`` or without a column '<Field> <Ticker>' give no row.  Of columns with one name the last counts.
+    """
+    part = lambda i: F.get(F.regexp_extract_all("name", F.lit(NAME), i), F.lit(0))
+    cells = headers.select("source_file", F.posexplode(csv_cells(F.col("raw"))).alias("at", "name"))
+    is_day = (F.col("name") == id_col).alias("is_day")
+    named = cells.select("source_file", "at", is_day, part(1).alias("field"), part(2).alias("ticker"))
+    places = [F.max(F.when(F.col("field") == f, F.col("at"))).alias(_lower(f)) for f in PRICE_FIELDS]
+    # a row per ticker; that of the null ticker holds the day's position and all columns of other names
+    tickers = named.groupBy("source_file", "ticker").agg(F.max(F.when(F.col("is_day"), F.col("at"))).alias("day"), *places)
+    quote = F.when(F.col("ticker").isNotNull(), F.struct("ticker", *[_lower(f) for f in PRICE_FIELDS]))
+    files = tickers.groupBy("source_file").agg(F.max("day").alias("day"), F.collect_list(quote).alias("quotes"))
+    return files.filter(F.col("day").isNotNull() & (F.size("quotes") > 0))
+
+
+def normalize_positional(
+    lines: DataFrame, headers: DataFrame, id_col: str = "Date", adjusted: bool = False, strict: bool = True
+) -> DataFrame:
+    """``source_file, value`` (lines of wide files) to ``ticker, date, open, high, low, close[, adj_close], volume``.
+
+    Each file is read by its own header (``wide_headers``).  Lines and headers are joined by file, one row per line; the
+    cells expand into tickers after the join, in place.  Header lines, also repeated ones, and blank lines give no row.
+    Cells that are missing or are no numbers read as null.  A line of a file without a usable header is an error, or
+    with ``strict=False`` left out.
+    """
+    fields = [f for f in PRICE_FIELDS if adjusted or f != "Adj Close"]
+    told = lines.filter(F.trim("value") != "").join(headers, "source_file", "left" if strict else "inner")
+    unknown = F.raise_error(F.concat(F.lit("no usable header in the wide file "), F.col("source_file")))
+    cells = csv_cells(F.when(F.col("quotes").isNull(), unknown).otherwise(F.ltrim(F.col("value"), F.lit("\ufeff"))))
+    told = told.select("day", "quotes", cells.alias("cells"))
+    value = lambda at: F.get("cells", at).try_cast("double")
+    row = lambda q: F.struct(q.ticker.alias("ticker"), *[value(q[_lower(f)]).alias(_lower(f)) for f in fields])
+    day = F.get("cells", "day")
+    prices = F.when(day == id_col, F.lit(None)).otherwise(F.transform("quotes", row))
+    return (
+        told.select(day.cast("date").alias("date"), F.inline(prices))
+        .select("ticker", "date", *[_lower(f) for f in fields])
+        .transform(nan_to_null)
+        .dropna(how="all", subset=[_lower(f) for f in fields])
+    )
+
+
 def _flat(wide: DataFrame, id_col: str, ticker: str | None) -> DataFrame:
     fields = [f for f in PRICE_FIELDS if f in wide.columns]
     named = "Ticker" in wide.columns and ticker is None

@@ -22,7 +22,7 @@ from marketframe.schemas import TIMEFRAMES
 from marketframe.plans.rollup import read_rollup, update_rollup
 from marketframe.session import scratch_path
 from marketframe.sinks import write_bars
-from marketframe.sources import read_bars, read_prices, read_store, read_universe
+from marketframe.sources import read_bars, read_prices, read_store, read_universe, read_wide_files
 
 AS_OF = date(2001, 8, 1)
 TWO_TICKERS = ("1-URGENT", "2-HIGH")
@@ -199,6 +199,17 @@ def wide_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize_wide(wide.withColumns(closes))
 
 
+def wide_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Downloads of two tickers each: files in one folder whose headers differ."""
+    folder = scratch_path(spark, "wide")
+    wide = t.wide_prices(spark, sf_dir)
+    tickers = sorted({c.rpartition(" ")[2] for c in wide.columns if c != "Date"})
+    for i in range(0, len(tickers), 2):
+        columns = [c for c in wide.columns if c.rpartition(" ")[2] in tickers[i : i + 2]]
+        wide.select("Date", *[f"`{c}`" for c in columns]).write.mode("append").option("header", True).csv(folder)
+    return read_wide_files(spark, folder)
+
+
 QUERIES = {
     "bars_daily": _resampled(t.priority_bars, "daily"),
     "bars_weekly": _resampled(t.priority_bars, "weekly"),
@@ -228,6 +239,7 @@ QUERIES = {
     "run_summary": resample_summary,
     "wide_to_long": wide_to_long,
     "wide_with_gaps": wide_with_gaps,
+    "wide_files": wide_files,
 }
 
 # --- expected results -------------------------------------------------------------------------
@@ -351,6 +363,9 @@ ORACLES = {
     "wide_to_long": _with(
         t.PRIORITY_BARS_SQL, "SELECT * REPLACE (replace(ticker, ' ', '_') AS ticker) FROM bars"
     ),
+    "wide_files": _with(
+        t.PRIORITY_BARS_SQL, "SELECT * REPLACE (replace(ticker, ' ', '_') AS ticker) FROM bars"
+    ),
     "wide_with_gaps": _with(
         t.PRIORITY_BARS_SQL,
         """SELECT * REPLACE (replace(ticker, ' ', '_') AS ticker, CASE WHEN day(date) % 5 <> 0 THEN close END AS close)

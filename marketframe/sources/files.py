@@ -8,10 +8,12 @@ files exists on the driver, and files of zero bytes, which Spark's own readers s
     spark.read.format("small_files").option("glob", "*.json").load("s3://bucket/statements")
 
 Columns: ``source_file`` (the path below the root) and ``raw`` (the text; bytes that are not UTF-8 become U+FFFD).
+With the option ``first_line`` the text ends before the first line break, and no more of the file is read.
 Stores are those that ``pyarrow.fs`` reaches: local and mounted folders, S3, HDFS, GCS.  Files and folders whose names
 begin with ``_`` or ``.`` are passed over, as Spark does.
 """
 
+import re
 import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -31,6 +33,7 @@ SLICES = 32
 #: Text handed to Spark at a time, about, and files at most.
 BATCH_BYTES = 8 << 20
 BATCH_FILES = 1_000
+HEAD_BYTES = 64 << 10
 
 
 @dataclass
@@ -53,6 +56,17 @@ def open_store(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1).replace("s3n://", "s3://", 1))
 
 
+def first_line(stream: pa.NativeFile) -> bytes:
+    """What comes before the first line break, without a byte order mark."""
+    parts = []
+    while part := stream.read(HEAD_BYTES):
+        line, *more = re.split(rb"[\r\n]", part, maxsplit=1)
+        parts.append(line)
+        if more:
+            break
+    return b"".join(parts).removeprefix(b"\xef\xbb\xbf")
+
+
 def visible(path: str) -> bool:
     return path.rpartition("/")[2][:1] not in ("_", ".")
 
@@ -75,6 +89,7 @@ class SmallFilesReader(DataSourceReader):
         self.glob = options.get("glob", "*")
         self.recursive = str(options.get("recursive", "false")).lower() == "true"
         self.slices = int(options.get("slices", SLICES))
+        self.first_line = str(options.get("first_line", "false")).lower() == "true"
 
     def partitions(self) -> list[Slice]:
         """One slice after the other of the root, then of each folder below it."""
@@ -96,7 +111,7 @@ class SmallFilesReader(DataSourceReader):
             if crc32(name.encode()) % partition.of != partition.number:
                 continue
             with store.open_input_stream(path) as stream:
-                text = stream.read()
+                text = first_line(stream) if self.first_line else stream.read()
             names.append(name)
             texts.append(text.decode("utf-8", "replace"))
             held += len(text)

@@ -10,7 +10,9 @@ from marketframe import versions
 from marketframe.operators.resample import bar_values, lower_names, nan_to_null
 from marketframe.operators.series import SERIES_COLUMNS
 from marketframe.operators.universe import in_universe
+from marketframe.operators.wide import normalize_positional, wide_headers
 from marketframe.schemas import BAR_TABLE, FALLBACK_TICKERS, MARKET_SUFFIX
+from marketframe.sources.files import SLICES, SmallFiles
 
 
 def read_universe(
@@ -57,6 +59,22 @@ def read_prices(
     return in_universe(bars, universe) if universe is not None else bars
 
 
+def read_wide_files(
+    spark: SparkSession, path: str, id_col: str = "Date", adjusted: bool = False, strict: bool = True, glob: str = "*.csv", slices: int = SLICES
+) -> DataFrame:
+    """Wide CSV files of one folder, each with tickers of its own, to ``ticker, date`` and the price fields.
+
+    The header lines are read inside tasks, no further than their ends, and the lines in splits as Spark cuts them; see
+    ``normalize_positional``.  Days that several files hold are repeated.
+    """
+    spark.dataSource.register(SmallFiles)
+    heads = spark.read.format(SmallFiles.name()).options(glob=glob, slices=slices, first_line=True).load(path)
+    # Spark gives names URL-encoded, but for the plus sign
+    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    lines = spark.read.option("pathGlobFilter", glob).text(path).select(name.alias("source_file"), "value")
+    return normalize_positional(lines, wide_headers(heads, id_col), id_col, adjusted, strict)
+
+
 def read_store(spark: SparkSession, path: str) -> DataFrame:
     """All bars of a store, of the version that is newest when this is called."""
     stored = versions.read_folders(spark, path, versions.current(spark, path), BAR_TABLE)

@@ -13,7 +13,7 @@ from marketframe.queries import tables
 from marketframe.schemas import BARS, FALLBACK_TICKERS, TIMEFRAMES
 from marketframe.session import scratch_path
 from marketframe.sinks import write_bars
-from marketframe.sources import read_bars, read_prices, read_store, read_universe
+from marketframe.sources import read_bars, read_prices, read_store, read_universe, read_wide_files
 
 
 def bars_of(spark, rows):
@@ -260,6 +260,39 @@ def test_wide_to_long(spark):
         normalize_wide(wide.select("Date"))
 
 
+def test_wide_files_with_headers_of_their_own(spark, tmp_path):
+    (tmp_path / "a b.csv").write_bytes('\ufeff"Date","Close A.JK",Volume A.JK\r\n2024-01-01,"1.5",7\r\n\r\n2024-01-02,NaN,\r\n'.encode())
+    (tmp_path / "b.csv").write_text("Close B.JK,Date,Other,Adj Close B.JK,Open C.JK\n2,2024-01-01,x,3,n/a\n4,2024-01-02 09:00:00,\"x,y\",5,6\n7,2024-01-03\n")
+    (tmp_path / "empty.csv").write_text("")
+    (tmp_path / "ignored.txt").write_text("no wide file\n")
+    long = read_wide_files(spark, str(tmp_path), adjusted=True)
+    assert long.columns == ["ticker", "date", "open", "high", "low", "close", "adj_close", "volume"]
+    assert rows(long.select("ticker", F.dayofmonth("date"), "open", "close", "adj_close", "volume")) == [
+        ("A.JK", 1, None, 1.5, None, 7.0),
+        ("B.JK", 1, None, 2.0, 3.0, None),
+        ("B.JK", 2, None, 4.0, 5.0, None),
+        ("B.JK", 3, None, 7.0, None, None),
+        ("C.JK", 2, 6.0, None, None, None),
+    ]
+    assert "adj_close" not in read_wide_files(spark, str(tmp_path)).columns
+    (tmp_path / "bad.csv").write_text("Date,Close\n2024-01-01,1\n")
+    with pytest.raises(Exception, match="no usable header in the wide file bad.csv"):
+        read_wide_files(spark, str(tmp_path)).collect()
+    assert read_wide_files(spark, str(tmp_path), strict=False).count() == 5
+
+
+def test_wide_files_many_columns(spark, tmp_path):
+    """A header longer than one read; files with disjoint tickers, in many tasks."""
+    for i in range(3):
+        names = [f"{f} T{i}-{j:04d}.JK" for j in range(2_000) for f in ("Open", "Close")]
+        lines = [f"2024-01-{d:02d}," + ",".join(str(d * 1000 + i)  for _ in names) for d in (1, 2)]
+        (tmp_path / f"{i}.csv").write_text("\n".join([",".join(["Date", *names]), *lines]))
+    long = read_wide_files(spark, str(tmp_path)).groupBy(F.substring("ticker", 2, 1).alias("file")).agg(
+        F.count("*"), F.countDistinct("ticker"), F.sum("close"), F.sum("open")
+    )
+    assert rows(long) == [(str(i), 4000, 2000, 2000.0 * (3000 + 2 * i), 2000.0 * (3000 + 2 * i)) for i in range(3)]
+
+
 def test_universe_file_and_fallback(spark, tmp_path):
     (tmp_path / "tickers.csv").write_text("Name,Ticker\nx,AALI\ny,BBCA\nz,\n")
     assert rows(read_universe(spark, str(tmp_path / "tickers.csv"))) == [("AALI.JK",), ("BBCA.JK",)]
