@@ -1,6 +1,8 @@
 """Financial statements: parsing, measures, ratios, storage."""
 
-from pyspark.sql import DataFrame, SparkSession
+from math import ceil
+
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from marketframe.functions import safe_double
@@ -25,6 +27,15 @@ def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_documents(t.customer_documents(spark, sf_dir))
 
 
+# files that a task writes: each costs milliseconds, and small tables come in one split however many files they make
+FILES_PER_TASK = 200
+
+
+def _one_per_file(documents: DataFrame, n_files: int) -> DataFrameWriter:
+    """A writer of a file per row, dealt over as many tasks as the files need."""
+    return documents.repartition(max(1, ceil(n_files / FILES_PER_TASK))).write.option("maxRecordsPerFile", 1)
+
+
 # --- queries ----------------------------------------------------------------------------------
 
 
@@ -65,7 +76,7 @@ def statements_partitioned_listing(spark: SparkSession, sf_dir: str) -> DataFram
     nation = t.table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").alias("nation"))
     text = F.when(F.col("s_suppkey") % 10 == 0, "").otherwise(F.to_json(F.struct("emiten", "laporan_keuangan")))
     landed = documents.join(nation, "s_suppkey").select("nation", text.alias("value"))
-    landed.write.partitionBy("nation").option("maxRecordsPerFile", 1).text(folder)
+    _one_per_file(landed, t.table(spark, sf_dir, "supplier").count()).partitionBy("nation").text(folder)
     found = read_statements(spark, folder, recursive=True, glob="*.txt")
     nation_of = lambda df: df.withColumn("nation", F.regexp_extract("source_file", "nation=([0-9]+)/", 1).cast("int"))
     files = nation_of(found).groupBy("nation").agg(F.count("*").alias("n_files"), F.count_if(F.col("v").isNull()).alias("n_unreadable"))

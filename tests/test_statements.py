@@ -1,6 +1,8 @@
 """Statement documents from files to ratios, and the record files."""
 
 import json
+from collections import Counter
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -182,3 +184,18 @@ def test_appending_statements_counts_rows(spark, folder):
     assert [write_statements(statements, path) for _ in range(2)] == [len(GOOD)] * 2
     assert spark.read.parquet(path).count() == 2 * len(GOOD)
     assert write_statements(statements.limit(0), path) == 0
+
+
+def files_by_task(folder):
+    """How many files each task has written below the folder."""
+    return Counter(f.name.split("-")[1] for f in Path(folder).rglob("part-*"))
+
+
+def test_files_of_one_split_are_written_by_many_tasks(spark, tmp_path):
+    from marketframe.queries.statements import FILES_PER_TASK, _one_per_file
+
+    n = 3 * FILES_PER_TASK
+    one_split = spark.range(n).selectExpr("cast(id as string) as value", "id % 5 as nation").coalesce(1)
+    _one_per_file(one_split, n).partitionBy("nation").text(str(tmp_path / "out"))
+    counts = files_by_task(tmp_path / "out")
+    assert sum(counts.values()) == n and len(counts) == 3 and max(counts.values()) < n / 2
