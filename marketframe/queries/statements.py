@@ -61,12 +61,12 @@ def statement_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
 def statements_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One JSON file per supplier, all in one folder, read back as documents."""
     folder = scratch_path(spark, "statements")
-    _write_files(t.supplier_documents(spark, sf_dir), folder)
+    _write_files(t.supplier_documents(spark, sf_dir), t.table(spark, sf_dir, "supplier").count(), folder)
     return statement_summary(transform_statements(read_statements(spark, folder)))
 
 
-def _write_files(documents: DataFrame, folder: str) -> None:
-    documents.drop("s_suppkey").write.option("maxRecordsPerFile", 1).json(folder)
+def _write_files(documents: DataFrame, n_files: int, folder: str) -> None:
+    _one_per_file(documents.drop("s_suppkey"), n_files).json(folder)
 
 
 def statements_partitioned_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,9 +87,9 @@ def statements_partitioned_listing(spark: SparkSession, sf_dir: str) -> DataFram
 def statements_two_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Half of the suppliers' files, then the other half, then the second folder again."""
     first, second, bronze, table = (scratch_path(spark, n) for n in ("first", "second", "bronze", "table"))
-    documents = t.supplier_documents(spark, sf_dir)
-    _write_files(documents.filter("s_suppkey % 2 = 0"), first)
-    _write_files(documents.filter("s_suppkey % 2 = 1"), second)
+    documents, n_files = t.supplier_documents(spark, sf_dir), t.table(spark, sf_dir, "supplier").count()
+    _write_files(documents.filter("s_suppkey % 2 = 0"), n_files, first)
+    _write_files(documents.filter("s_suppkey % 2 = 1"), n_files, second)
     for folder in (first, second, second):
         load_statements(spark, folder, bronze, table)
     return statement_summary(spark.read.parquet(table))
