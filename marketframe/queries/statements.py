@@ -104,7 +104,8 @@ def _write_record_files(spark: SparkSession, sf_dir: str) -> str:
     others = customers.filter("c_custkey % 50 = 0").select(
         F.when(F.col("c_custkey") % 100 == 0, F.to_json(record)).otherwise("[{").alias("value")
     )
-    lists.select("value").unionByName(others).write.option("maxRecordsPerFile", 1).text(folder)
+    # a list for every 100 keys, and every 50th customer by itself
+    _one_per_file(lists.select("value").unionByName(others), 3 * customers.count() // 100).text(folder)
     return folder
 
 
