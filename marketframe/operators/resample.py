@@ -6,11 +6,16 @@ aggregates that combine on the map side: a ticker that owns a third of all rows
 as a few rows per task.
 """
 
+from math import ceil
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketframe.schemas import BAR_VALUES, TIMEFRAMES, YEARS_PER_BAR
 
+# days that a task of the roll-up gets, about: a few hundred MB of memory
+ROWS_PER_TASK = 200_000
+
 TRUNC_UNIT = {"weekly": "week", "monthly": "month", "yearly": "year"}
 
 
@@ -92,7 +97,12 @@ def resample(bars: DataFrame, timeframe: str, ties: tuple[str, ...] = ()) -> Dat
     )
 
 
-def resample_all(bars: DataFrame, timeframes: tuple[str, ...] = TIMEFRAMES) -> DataFrame:
+def parts_for(rows: int) -> int:
+    """Parts to roll up a table of so many rows in, so that the memory of a task doesn't grow with the table."""
+    return max(1, ceil(rows / ROWS_PER_TASK))
+
+
+def resample_all(bars: DataFrame, timeframes: tuple[str, ...] = TIMEFRAMES, parts: int | None = None) -> DataFrame:
     """All timeframes in one frame with a ``timeframe`` column; ``period`` is null below 3 years.
 
     One scan and two shuffles serve all five coarser timeframes.  Days are first combined into the
@@ -100,6 +110,10 @@ def resample_all(bars: DataFrame, timeframes: tuple[str, ...] = TIMEFRAMES) -> D
     piece, so no key is hot.  The pieces, now bounded per ticker by the calendar, are shuffled by ticker;
     the first year and every coarser bar follow inside that partitioning without another exchange.
     Daily rows pass by unshuffled.
+
+    Every piece becomes one row per timeframe in that last step, so its tasks need many times the memory of what they
+    read.  ``parts`` (see ``parts_for``) is the number of them; without it adaptive execution merges them by the
+    bytes that they read.
     """
     unknown = set(timeframes) - set(TIMEFRAMES)
     if unknown:
@@ -114,7 +128,8 @@ def resample_all(bars: DataFrame, timeframes: tuple[str, ...] = TIMEFRAMES) -> D
     coarser = [t for t in timeframes if t != "daily"]
     if not coarser:
         return daily
-    rolled = _roll_up(_week_month_pieces(bars), coarser)
+    pieces = _week_month_pieces(bars)
+    rolled = _roll_up(pieces.repartition(parts, "ticker") if parts else pieces, coarser)
     return daily.unionByName(rolled) if "daily" in timeframes else rolled
 
 

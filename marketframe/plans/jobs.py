@@ -7,7 +7,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from marketframe.operators.news import Summarizer, summarize_pending
-from marketframe.operators.resample import resample_all
+from marketframe.operators.resample import parts_for, resample_all
 from marketframe.operators.series import chart_parts, chart_report
 from marketframe.operators.statements import split_corrupt, transform_statements
 from marketframe.sinks import (
@@ -26,7 +26,8 @@ def build_bar_store(
     """Landed daily prices of the universe to a store of all timeframes; returns rows per timeframe."""
     universe = read_universe(spark, universe_path)
     bars = read_prices(spark, prices_path, universe, as_of=as_of)
-    return write_bars(resample_all(bars), store_path)
+    landed = spark.read.parquet(prices_path).count()  # from the footers, and no fewer than the bars
+    return write_bars(resample_all(bars, parts=parts_for(landed)), store_path)
 
 
 def load_statements(

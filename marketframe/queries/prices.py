@@ -45,11 +45,11 @@ def single_ticker_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bars_all_timeframes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(resample_all(t.supplier_bars(spark, sf_dir)))
+    return _rounded(resample_all(t.supplier_bars(spark, sf_dir), parts=t.parts(spark, sf_dir, "lineitem")))
 
 
 def bars_all_timeframes_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(resample_all(t.customer_bars(spark, sf_dir)))
+    return _rounded(resample_all(t.customer_bars(spark, sf_dir), parts=t.parts(spark, sf_dir, "orders")))
 
 
 def bars_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -180,11 +180,12 @@ def bars_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bar_count_per_ticker(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bar_counts(resample_all(t.supplier_bars(spark, sf_dir)))
+    return bar_counts(resample_all(t.supplier_bars(spark, sf_dir), parts=t.parts(spark, sf_dir, "lineitem")))
 
 
 def resample_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run_summary(resample_all(t.supplier_bars(spark, sf_dir)), _universe(spark, sf_dir))
+    bars = resample_all(t.supplier_bars(spark, sf_dir), parts=t.parts(spark, sf_dir, "lineitem"))
+    return run_summary(bars, _universe(spark, sf_dir))
 
 
 def wide_to_long(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ Each ``*_SQL`` constant states the same derivation for DuckDB.
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketframe.operators.resample import parts_for
 from marketframe.schemas import BAR_VALUES
 
 
@@ -13,6 +14,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def parts(spark: SparkSession, sf_dir: str, name: str) -> int:
+    """Parts to roll up bars of a table in; the rows are counted from the files' footers."""
+    return parts_for(table(spark, sf_dir, name).count())
+
+
 # --- price bars -------------------------------------------------------------------------------
 
 

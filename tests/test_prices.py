@@ -6,7 +6,7 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from marketframe.operators.resample import ensure_ticker, resample, resample_all, sort_bars, to_storage
+from marketframe.operators.resample import ROWS_PER_TASK, ensure_ticker, parts_for, resample, resample_all, sort_bars, to_storage
 from marketframe.operators.universe import in_universe, missing_tickers, run_summary
 from marketframe.operators.wide import normalize_wide, split_name
 from marketframe.queries import tables
@@ -51,6 +51,16 @@ def test_multi_year_bars_count_from_each_tickers_own_first_year(spark):
     ]
 
 
+def test_parts_of_the_roll_up_grow_with_the_table(spark, bars):
+    """A fixed number of days a task, whatever adaptive execution would merge; the same bars and no more shuffles."""
+    assert [parts_for(n) for n in (0, 1, ROWS_PER_TASK, 60 * ROWS_PER_TASK)] == [1, 1, 1, 60]
+    whole, dealt = (resample_all(bars, TIMEFRAMES[1:], parts).withColumn("volume", F.round("volume", 2)) for parts in (None, 7))
+    assert whole.exceptAll(dealt).isEmpty() and dealt.exceptAll(whole).isEmpty()
+    shuffles = [df._jdf.queryExecution().executedPlan().toString().count("Exchange ") for df in (whole, dealt)]
+    assert shuffles[1] <= shuffles[0]
+    assert dealt.rdd.getNumPartitions() == 7
+
+
 def test_resample_all_equals_the_single_timeframes(spark, bars):
     together = resample_all(bars).withColumn("volume", F.round("volume", 2)).cache()
     for timeframe in TIMEFRAMES:
