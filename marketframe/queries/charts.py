@@ -46,7 +46,7 @@ def series_all_timeframes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _customer_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return resample_all(t.customer_bars(spark, sf_dir))
+    return resample_all(t.customer_bars(spark, sf_dir), parts=t.parts(spark, sf_dir, "orders"))
 
 
 def chart_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
