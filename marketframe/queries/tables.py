@@ -3,6 +3,8 @@
 Each ``*_SQL`` constant states the same derivation for DuckDB.
 """
 
+from math import ceil
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -166,9 +168,17 @@ CUSTOMER_DOCUMENT = f"""
     END"""
 
 
+# documents that a task makes and parses
+DOCUMENTS_PER_TASK = 20_000
+
+
 def customer_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One statement document per customer: ``source_file, raw``."""
-    return table(spark, sf_dir, "customer").select(
+    """One statement document per customer: ``source_file, raw``.
+
+    Customers are dealt out first: each is a few bytes in a file of few splits, and a long text from here on.
+    """
+    customers = table(spark, sf_dir, "customer")
+    return customers.repartition(ceil((customers.count() + 1) / DOCUMENTS_PER_TASK), "c_custkey").select(
         F.concat(F.lit("customer-"), "c_custkey", F.lit(".json")).alias("source_file"),
         F.expr(CUSTOMER_DOCUMENT).alias("raw"),
     )

@@ -199,3 +199,15 @@ def test_files_of_one_split_are_written_by_many_tasks(spark, tmp_path):
     _one_per_file(one_split, n).partitionBy("nation").text(str(tmp_path / "out"))
     counts = files_by_task(tmp_path / "out")
     assert sum(counts.values()) == n and len(counts) == 3 and max(counts.values()) < n / 2
+
+
+def test_documents_of_one_split_are_made_by_many_tasks(spark, tmp_path):
+    from marketframe.queries import tables as t
+
+    n = 2 * t.DOCUMENTS_PER_TASK + 1
+    customers = spark.range(n).selectExpr(
+        "id as c_custkey", "concat('c', id) as c_name", "cast(id % 25 as int) as c_nationkey", "id / 4 as c_acctbal", "'BUILDING' as c_mktsegment"
+    )
+    customers.coalesce(1).write.parquet(str(tmp_path / "customer.parquet"))
+    documents = t.customer_documents(spark, str(tmp_path))
+    assert documents.rdd.getNumPartitions() == 3 and documents.select("source_file").distinct().count() == n
