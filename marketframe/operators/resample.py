@@ -138,29 +138,26 @@ def _week_month_pieces(bars: DataFrame) -> DataFrame:
     return bars.groupBy("ticker", week.alias("week"), month.alias("month")).agg(*_combine(bars, "date"))
 
 
-def mergeable_pieces(bars: DataFrame) -> DataFrame:
-    """Partial bars of the days that lie in one week and one month, with what it takes to merge them later.
-
-    ``ticker, week, month, first_day, last_day, days`` and the values; ``days`` has a bit for each weekday that the
-    piece holds, so that a day which is sent again can be told.
-    """
-    week, month = bar_start(F.col("date"), "weekly"), bar_start(F.col("date"), "monthly")
-    return bars.groupBy("ticker", week.alias("week"), month.alias("month")).agg(
-        F.min("date").alias("first_day"), F.max("date").alias("last_day"), F.bit_or(day_bit(F.col("date"))).alias("days"), *_combine(bars, "date")
-    )
+def day_pieces(bars: DataFrame) -> DataFrame:
+    """Each day as a partial bar: ``ticker, first_day, last_day, days`` and the values; see ``merge_pieces``."""
+    day = F.col("date")
+    return bars.select("ticker", day.alias("first_day"), day.alias("last_day"), day_bit(day).alias("days"), *bar_values(bars))
 
 
 def day_bit(day: Column) -> Column:
     return F.pow(F.lit(2), F.weekday(day)).cast("int")
 
 
-def merge_pieces(pieces: DataFrame) -> DataFrame:
-    """Pieces of the same ticker, week and month as one, in whatever order their days came."""
+def merge_pieces(pieces: DataFrame, keys: list[str], *more: Column) -> DataFrame:
+    """Partial bars of the same keys as one, in whatever order their days came.
+
+    ``days`` has a bit for each weekday that a piece within one week holds, so that a day which is sent again can be told.
+    """
     first, last = _combine(pieces, "first_day"), _combine(pieces, "last_day")
     by_name = dict(zip(bar_values(pieces), zip(first, last, strict=True), strict=True))
     values = [by_name[c][0 if c == "open" else 1] for c in bar_values(pieces)]
-    return pieces.groupBy("ticker", "week", "month").agg(
-        F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day"), F.bit_or("days").alias("days"), *values
+    return pieces.groupBy(*keys).agg(
+        F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day"), F.bit_or("days").alias("days"), *values, *more
     )
 
 
@@ -185,7 +182,6 @@ def roll_up(pieces: DataFrame, timeframes: tuple[str, ...] = TIMEFRAMES[1:]) ->
     """Bars of all coarser timeframes from pieces that know their ticker's ``first_year``; ``start`` is the bar's first day."""
     year = F.year("month")
     targets = bar_starts(F.col("month"), F.col("week"), F.col("first_year"), timeframes)
-    multi_year = F.col("timeframe").isin(*YEARS_PER_BAR)
     return (
         pieces.withColumn("piece", F.greatest("week", "month"))
         .select("ticker", "piece", "month", *bar_values(pieces), F.inline(targets))
@@ -194,14 +190,23 @@ def roll_up(pieces: DataFrame, timeframes: tuple[str, ...] = TIMEFRAMES[1:]) ->
         .select(
             "ticker",
             "timeframe",
-            F.when(multi_year, F.make_date("y1", F.lit(1), F.lit(1))).otherwise(F.col("start")).alias("date"),
+            bar_date().alias("date"),
             *bar_values(pieces),
-            F.when(multi_year, F.concat("y0", F.lit("-"), "y1")).alias("period"),
+            bar_period().alias("period"),
             "start",
         )
     )
 
 
+def bar_date() -> Column:
+    """The date of a bar of ``timeframe`` from ``start`` whose last year is ``y1``."""
+    return F.when(F.col("timeframe").isin(*YEARS_PER_BAR), F.make_date("y1", F.lit(1), F.lit(1))).otherwise(F.col("start"))
+
+
+def bar_period() -> Column:
+    return F.when(F.col("timeframe").isin(*YEARS_PER_BAR), F.concat("y0", F.lit("-"), "y1"))
+
+
 def sort_bars(bars: DataFrame) -> DataFrame:
     """Global order by ticker, then date.  The date lets the range partitioner split a large ticker."""
     return bars.orderBy("ticker", "date")

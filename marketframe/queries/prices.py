@@ -169,7 +169,7 @@ def bars_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bars_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three batches of days, the second with days before and between those of the first, the third sent twice."""
     store = scratch_path(spark, "rollup")
-    days = t.supplier_bars(spark, sf_dir)
+    days = t.supplier_bars(spark, sf_dir, t.line_tasks(spark, sf_dir))
     late = (F.col("date") < "1993-01-01") | (F.dayofmonth("date") % 7 == 3)
     newest = F.col("date") >= "1997-01-01"
     update_rollup(days.filter(~late & ~newest), store)

@@ -77,13 +77,28 @@ MARKET_BARS_SQL = _order_bars_sql("'ALL'")
 LINE_ORDER = """cast(l_orderkey AS decimal(19, 0)) * 10000000000000BD
     + cast(l_linenumber * 1000000000000L + l_partkey AS decimal(19, 0))"""
 
+# lines that a task combines to days, about: a few hundred MB of memory
+LINES_PER_TASK = 500_000
 
-def supplier_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One ticker per supplier, with an adjusted close (the last line's price after discount)."""
+
+def line_tasks(spark: SparkSession, sf_dir: str) -> int:
+    """Tasks to deal lines over; the rows are counted from the files' footers."""
+    return max(ceil(table(spark, sf_dir, "lineitem").count() / LINES_PER_TASK), spark.sparkContext.defaultParallelism)
+
+
+def supplier_bars(spark: SparkSession, sf_dir: str, tasks: int | None = None) -> DataFrame:
+    """One ticker per supplier, with an adjusted close (the last line's price after discount).
+
+    A supplier has one or two lines a day, so that combining them before the shuffle saves little, and its buffers are
+    twice as wide as the lines.  With ``tasks`` the lines themselves are dealt by supplier and day.
+    """
     price, order = F.col("l_extendedprice"), F.expr(LINE_ORDER)
+    lines = table(spark, sf_dir, "lineitem").withColumn("date", F.col("l_shipdate").cast("date"))
+    if tasks:
+        used = ("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_discount", "l_quantity")
+        lines = lines.select("l_suppkey", "date", *used).repartition(tasks, "l_suppkey", "date")
     return (
-        table(spark, sf_dir, "lineitem")
-        .groupBy("l_suppkey", F.col("l_shipdate").cast("date").alias("date"))
+        lines.groupBy("l_suppkey", "date")
         .agg(
             F.min_by(price, order).alias("open"),
             F.max(price).alias("high"),

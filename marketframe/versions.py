@@ -14,6 +14,7 @@ import json
 import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
@@ -96,14 +97,18 @@ def read_folders(spark: SparkSession, path: str, version: Version, table: str, f
     if not folders:
         return None
     schema = T.StructType.fromJson(json.loads(version.schemas[table]))
-    reader = spark.read.schema(schema).option("basePath", f"{path}/{table}")
-    return reader.parquet(*[f"{path}/{f}" for f in folders])
+    places: dict[str, list[str]] = {}  # a table may list folders that were written beside those of another one
+    for f in folders:
+        places.setdefault(f.partition("/")[0], []).append(f"{path}/{f}")
+    read = [spark.read.schema(schema).option("basePath", f"{path}/{place}").parquet(*paths) for place, paths in places.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), read)
 
 
 def write_folders(rows: DataFrame, path: str, table: str, partitions: Iterable[str], run: str) -> list[str]:
     """Write rows into folders of this run, which may have some already; returns the run's folders of the table."""
     spark, partitions = rows.sparkSession, list(partitions)
-    rows.withColumn("version", F.lit(run)).write.mode("append").partitionBy(*partitions, "version").parquet(f"{path}/{table}")
+    writer = rows.withColumn("version", F.lit(run)).write.mode("append").partitionBy(*partitions, "version")
+    writer.option("compression", "zstd").parquet(f"{path}/{table}")
     files, where = _files(spark, f"{path}/{table}" + "/*" * len(partitions) + f"/version={run}")
     depth = len(partitions) + 2
     return sorted("/".join(s.getPath().toString().split("/")[-depth:]) for s in files.globStatus(where) or [])
@@ -148,7 +153,12 @@ def drop_old(spark: SparkSession, path: str, keep: int = 2) -> int:
     older = [n for n in numbers if newest and n < newest[-1].number]
     used = {f for v in newest for fs in v.folders.values() for f in fs}
     gone = {f for n in older if (v := _read_list(spark, path, n)) for fs in v.folders.values() for f in fs} - used
-    for name in [*sorted(gone), *[f"{LISTS}/{n:010d}" for n in older]]:
+    delete(spark, path, [*sorted(gone), *[f"{LISTS}/{n:010d}" for n in older]])
+    return len(gone)
+
+
+def delete(spark: SparkSession, path: str, names: Iterable[str]) -> None:
+    """Delete folders or files of a store, such as folders of this run that it will not publish."""
+    for name in names:
         files, where = _files(spark, f"{path}/{name}")
         files.delete(where, True)
-    return len(gone)

@@ -1,11 +1,13 @@
 import random
+import re
 from datetime import date, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from marketframe import versions
-from marketframe.operators.resample import resample_all
+from marketframe.operators.resample import day_pieces, merge_pieces, resample_all, roll_up
 from marketframe.plans import rollup
 from marketframe.plans.rollup import read_rollup, update_rollup
 from marketframe.schemas import BARS
@@ -181,3 +183,55 @@ def test_a_roll_up_that_dies_can_be_repeated(spark, monkeypatch):
     assert all_rows(read_rollup(spark, path)) == before
     update_rollup(spark.createDataFrame(rows[100:], BARS), path)
     assert all_rows(read_rollup(spark, path)) == all_rows(resample_all(spark.createDataFrame(rows, BARS)))
+
+
+def rows_in(spark, folder):
+    return sum(spark.read.parquet(str(f)).count() for f in folder.rglob("*.parquet"))
+
+
+def test_an_update_deals_its_days_by_ticker_once_and_writes_them_once(spark, monkeypatch):
+    plans, shared, replace = [], Path(spark.conf.get("spark.checkpoint.dir")), rollup._replace
+    monkeypatch.setattr(rollup, "_replace", lambda rolled, *rest: plans.append(rolled._jdf.queryExecution().simpleString()) or replace(rolled, *rest))
+    rows, path, earlier = random_days(3, 2), scratch_path(spark, "rollup"), set(shared.iterdir())
+    update_rollup(spark.createDataFrame(rows[:200], BARS), path)
+    written = sum(rows_in(spark, f) for f in set(shared.iterdir()) - earlier)
+    monday = lambda d: d - timedelta(days=d.weekday())
+    pieces = {(t, monday(d), d.replace(day=1)) for t, d, *_ in rows[:200]}
+    # days, pieces and bars once, the two tickers twice
+    assert written == read_rollup(spark, path).count() + len(pieces) + 2 * len({t for t, *_ in rows[:200]})
+    update_rollup(spark.createDataFrame(rows[200:], BARS), path)
+    assert [len(re.findall(r"\bExchange ", p)) for p in plans] == [1, 1]
+
+
+def test_of_a_batch_sent_again_with_more_days_only_these_are_added(spark):
+    path = scratch_path(spark, "rollup")
+    rows = [("A", date(2023, 12, 20) + timedelta(days=i), *[float(i)] * 5) for i in range(75)]
+    assert update_rollup(spark.createDataFrame(rows[::2], BARS), path) == 38
+    again = [(t, d, *[-1.0] * 5) for t, d, *_ in rows[::2]]
+    assert update_rollup(spark.createDataFrame(again + rows[1::2], BARS), path) == 37
+    assert update_rollup(spark.createDataFrame(again, BARS), path) == 0
+    assert all_rows(read_rollup(spark, path)) == all_rows(resample_all(spark.createDataFrame(rows, BARS)))
+    # days that were not taken leave no files
+    listed = versions.current(spark, path).folders["daily"]
+    assert {str(f.parent.relative_to(path)) for f in Path(path, "daily").rglob("*.parquet")} == set(listed)
+    assert rows_in(spark, Path(path, "daily")) == 75
+
+
+def test_a_store_with_pieces_in_a_folder_of_their_own_is_carried_on(spark):
+    path, run, rows = scratch_path(spark, "rollup"), versions.new_run(), random_days(4, 2)
+    days = spark.createDataFrame(rows[:150], BARS)
+    week, month = F.trunc("first_day", "week").alias("week"), F.trunc("first_day", "month").alias("month")
+    pieces = merge_pieces(day_pieces(days).select("*", week, month), ["ticker", "week", "month"])
+    first = days.groupBy("ticker").agg(F.min(F.year("date")).alias("first_year"))
+    tables = {
+        "daily": (days.withColumn("year", F.year("date")), ["year"]),
+        "pieces": (pieces.withColumn("year", F.year("month")), ["year"]),
+        "tickers": (first, []),
+        "rolled": (roll_up(pieces.join(first, "ticker")).withColumn("year", F.year("start")), ["timeframe", "year"]),
+    }
+    before = versions.Version()
+    folders = {t: versions.write_folders(df, path, t, by, run) for t, (df, by) in tables.items()}
+    versions.publish(spark, path, before, folders, {t: versions.merged_schema(before, t, df) for t, (df, _) in tables.items()})
+    for part in (rows[100:220], rows[200:]):
+        update_rollup(spark.createDataFrame(part, BARS), path)
+    assert all_rows(read_rollup(spark, path)) == all_rows(resample_all(spark.createDataFrame(rows, BARS)))
